@@ -67,16 +67,6 @@ def ids(word: Column) -> Column:
     return F.transform(symbols(word), symbol_id)
 
 
-def adjacent_pairs(word: Column) -> Column:
-    """All two-symbol substrings, left to right, overlaps included."""
-    parts = symbols(word)
-    n = F.size(parts)
-    return F.when(
-        n > 1,
-        F.zip_with(F.slice(parts, F.lit(1), n - 1), F.slice(parts, F.lit(2), n - 1), lambda a, b: F.concat(a, b)),
-    ).otherwise(F.array().cast("array<string>"))
-
-
 def pair_ids(pair: Column) -> tuple[Column, Column]:
     """Ids of the left and right symbol of a two-symbol string."""
     return symbol_id(F.substring(pair, 1, 1)), symbol_id(F.substring(pair, 2, 1))

@@ -40,8 +40,12 @@ Rule = tuple[int, int, int]
 
 def pair_counts(words: DataFrame) -> DataFrame:
     """(word, freq) -> (a, b, cnt) over all adjacent positions."""
+    # Plain explodes stay in generated code; higher-order functions would not.
     counted = (
-        words.select("freq", F.explode(chars.adjacent_pairs(F.col("word"))).alias("pair"))
+        words.filter("length(word) > 1")
+        .selectExpr("freq", "split(word, '') as p")
+        .selectExpr("freq", "p", "explode(sequence(1, size(p) - 1)) as i")
+        .selectExpr("freq", "concat(p[i - 1], p[i]) as pair")
         .groupBy("pair")
         .agg(F.sum("freq").alias("cnt"))
     )
@@ -93,10 +97,6 @@ _SQL_ID = (
     "(ascii(substring(pair, {0}, 1))"
     f" - if(ascii(substring(pair, {{0}}, 1)) >= {chars.SURROGATE_START}, {chars.SURROGATE_SPAN}, 0))"
 )
-_SQL_PAIRS = (
-    "zip_with(slice({0}, 1, size({0}) - 1), slice({0}, 2, size({0}) - 1),"
-    " (x, y) -> struct(concat(x, y) as pair, {1} as sign))"
-)
 
 
 def staged_deltas(words: DataFrame, rules: Sequence[Rule]) -> DataFrame:
@@ -107,22 +107,29 @@ def staged_deltas(words: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     earlier rule makes can only arise in a word that holds that rule's pair.
     """
     # SQL text instead of Column objects: the loop builds this once per round.
-    steps = ", ".join(f"struct({_sql(_pair_text(r))} as old, {_sql(chars.symbol(r[2]))} as new)" for r in rules)
     touched = " or ".join(f"contains(word, {_sql(_pair_text(r))})" for r in rules)
+    names = ["word"] + [f"v{i}" for i in range(len(rules))]
+    versions = [
+        f"replace({before}, {_sql(_pair_text(r))}, {_sql(chars.symbol(r[2]))}) as {after}"
+        for r, before, after in zip(rules, names, names[1:])
+    ]
+    # Position i of the list is a pair of the word before (removed) or after (added).
+    place = "if(i < size(p), concat(p[i - 1], p[i]), concat(q[i - size(p)], q[i - size(p) + 1]))"
     return (
         words.filter(touched)
+        .selectExpr("freq", "word", *versions)
         .selectExpr(
             "freq",
-            f"aggregate(array({steps}), array(word),"
-            " (seen, s) -> array_append(seen, replace(element_at(seen, -1), s.old, s.new))) as v",
+            f"posexplode(array({', '.join(names[1:])})) as (stage, after)",
+            f"array({', '.join(names[:-1])}) as earlier",
         )
-        .selectExpr("freq", "v", "posexplode(slice(v, 2, size(v) - 1)) as (stage, after)")
-        .selectExpr("freq", "stage", "v[stage] as before", "after")
+        .selectExpr("freq", "stage", "earlier[stage] as before", "after")
         .filter("before <> after")
         .selectExpr("freq", "stage", "split(before, '') as p", "split(after, '') as q")
-        .selectExpr("freq", "stage", f"inline(concat({_SQL_PAIRS.format('p', '-1')}, {_SQL_PAIRS.format('q', '1')}))")
+        .selectExpr("freq", "stage", "p", "q", "explode(sequence(1, size(p) + size(q) - 2)) as i")
+        .selectExpr("stage", f"{place} as pair", "if(i < size(p), -freq, freq) as change")
         .groupBy("stage", "pair")
-        .agg(F.expr("sum(freq * sign) as delta"))
+        .agg(F.sum("change").alias("delta"))
         .filter("delta <> 0")
         .selectExpr("stage", f"{_SQL_ID.format(1)} as a", f"{_SQL_ID.format(2)} as b", "delta")
     )

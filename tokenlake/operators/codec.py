@@ -27,7 +27,13 @@ REMEMBERED_WORDS = 200_000
 
 
 def _sql_strings(values: Sequence[str]) -> str:
-    return "array(" + ", ".join(f"decode(X'{v.encode('utf-8').hex()}', 'UTF-8')" for v in values) + ")"
+    """SQL for an array of strings: one literal, cut at the boundary mark when
+    the plan is made."""
+
+    def literal(value: str) -> str:
+        return f"decode(X'{value.encode('utf-8').hex()}', 'UTF-8')"
+
+    return f"split({literal(chars.BOUNDARY.join(values))}, {literal(chars.BOUNDARY)})"
 
 
 def _special_symbols(tokenizer: Tokenizer) -> Column:
@@ -77,7 +83,7 @@ def folded(column: Column, tokenizer: Tokenizer) -> Column:
 def _word_encoder(rules: Sequence[tuple[int, int, int]]):
     """A function from a char-coded word to its ids, for many merges."""
     ranks = {(a, b): (rank, emitted) for rank, (a, b, emitted) in enumerate(rules)}
-    unranked = (len(ranks), -1)
+    unranked = (len(rules), -1)
 
     def encode_word(word: str) -> list[int]:
         ids = [ord(c) for c in word]
