@@ -9,6 +9,7 @@ is checked.
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -19,11 +20,13 @@ from tokenlake.functions import chars, text
 from tokenlake.operators.tokenizer import Tokenizer
 
 # Up to this many merges are replayed on whole documents by JVM expressions.
-FOLD_MERGES = 128
+FOLD_MERGES = 24
 # The vocabulary is sent to tasks as one literal up to this many bytes.
 LOOKUP_BYTES = 32 << 20
 # Words that one Python worker remembers between rows.
-REMEMBERED_WORDS = 200_000
+REMEMBERED_WORDS = 500_000
+# Up to this many merges, the new words of a batch are encoded together, merge by merge.
+RULES_PER_PASS = 2_000
 
 
 def _sql_strings(values: Sequence[str]) -> str:
@@ -80,56 +83,63 @@ def folded(column: Column, tokenizer: Tokenizer) -> Column:
     return F.replace(marked, F.lit(chars.BOUNDARY), F.lit(""))
 
 
-def _word_encoder(rules: Sequence[tuple[int, int, int]]):
-    """A function from a char-coded word to its ids, for many merges."""
-    ranks = {(a, b): (rank, emitted) for rank, (a, b, emitted) in enumerate(rules)}
-    unranked = (len(rules), -1)
+def _words_encoder(rules: Sequence[tuple[int, int, int]]):
+    """A function from char-coded words to their char-coded tokens."""
+    olds = [chars.symbol(a) + chars.symbol(b) for a, b, _ in rules]
+    news = [chars.symbol(c) for _, _, c in rules]
+    ranks = {(old[0], old[1]): rank for rank, old in enumerate(olds)}
+    none = len(rules)
 
-    def encode_word(word: str) -> list[int]:
-        ids = [ord(c) for c in word]
-        while len(ids) > 1:
-            pairs = list(zip(ids, ids[1:]))
-            best = min(pairs, key=lambda p: ranks.get(p, unranked))
-            if best not in ranks:
-                break
-            merged, i = [], 0
-            while i < len(ids):
-                hit = i < len(pairs) and pairs[i] == best
-                merged.append(ranks[best][1] if hit else ids[i])
-                i += 2 if hit else 1
-            ids = merged
-        return ids
+    def by_rule(words: Sequence[str]) -> list[str]:
+        joined = chars.BOUNDARY.join(words)
+        for old, new in zip(olds, news):
+            joined = joined.replace(old, new)
+        return joined.split(chars.BOUNDARY)
 
-    return encode_word
+    def by_word(words: Sequence[str]) -> list[str]:
+        out = []
+        for word in words:
+            # All occurrences of the lowest-ranked pair are merged at once;
+            # pairs made by them rank later.
+            while len(word) > 1:
+                best = min(map(ranks.get, zip(word, word[1:]), repeat(none)))
+                if best == none:
+                    break
+                word = word.replace(olds[best], news[best])
+            out.append(word)
+        return out
+
+    return by_rule if len(rules) <= RULES_PER_PASS else by_word
 
 
 def _arrow_encoder(df: DataFrame, tokenizer: Tokenizer):
-    """Arrow UDF from marked words to ids; each worker remembers frequent words."""
+    """Arrow UDF from marked words to ids.
+
+    A batch encodes its distinct new words once; each worker remembers words.
+    """
     rules = df.sparkSession.sparkContext.broadcast(tokenizer.encode_rules())
-    specials = {chars.symbol(tokenizer.special_id(s)): tokenizer.special_id(s) for s in tokenizer.specials}
 
     @F.pandas_udf("array<int>")
     def encode_batches(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        encode_word = _word_encoder(rules.value)
-        start = {s: [i] for s, i in specials.items()}
-        remembered: dict[str, list[int]] = dict(start)
+        encode_words = _words_encoder(rules.value)
+        remembered: dict[str, str] = {}
 
-        def encode_marked(marked: str | None):
+        def ids_of(marked: str | None):
             if marked is None:
                 return None
-            ids: list[int] = []
-            for word in marked.split(chars.BOUNDARY) if marked else ():
-                known = remembered.get(word)
-                if known is None:
-                    if len(remembered) >= REMEMBERED_WORDS:
-                        remembered.clear()
-                        remembered.update(start)
-                    known = remembered[word] = encode_word(word)
-                ids += known
-            return np.array(ids, dtype=np.int32)
+            coded = "".join(map(remembered.__getitem__, marked.split(chars.BOUNDARY)))
+            points = np.frombuffer(coded.encode("utf-32-le"), dtype=np.uint32).astype(np.int32)
+            points[points >= chars.SURROGATE_START] -= chars.SURROGATE_SPAN
+            return points
 
         for batch in batches:
-            yield batch.map(encode_marked)
+            if len(remembered) > REMEMBERED_WORDS:
+                remembered.clear()
+            words = {w for marked in batch.dropna() for w in marked.split(chars.BOUNDARY)}
+            new = list(words.difference(remembered))
+            if new:
+                remembered.update(zip(new, encode_words(new)))
+            yield batch.map(ids_of)
 
     return encode_batches
 

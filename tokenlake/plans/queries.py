@@ -461,7 +461,7 @@ def target_gate(spark, sf_dir):
 
 
 def _stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return streaming.stream_corpus(spark, sf_dir, DOCUMENTS_SCHEMA, "documents.parquet")
+    return streaming.stream_corpus(spark, sf_dir, DOCUMENTS_SCHEMA, "documents.parquet", spread_by="doc_id")
 
 
 def stream_encode(spark, sf_dir):

@@ -17,11 +17,26 @@ from tokenlake.operators.tokenizer import Tokenizer
 
 
 def stream_corpus(
-    spark: SparkSession, path: str, schema: str, files: str = "*.parquet", max_files_per_batch: int = 1000
+    spark: SparkSession,
+    path: str,
+    schema: str,
+    files: str = "*.parquet",
+    max_files_per_batch: int = 1000,
+    spread_by: str | None = None,
 ) -> DataFrame:
-    """Parquet files of a folder as a stream, new files as they appear."""
+    """Parquet files of a folder as a stream, new files as they appear.
+
+    ``spread_by`` works as in a batch scan: rows are hashed on it only if the
+    files present give fewer splits than there are cores.
+    """
     reader = spark.readStream.schema(schema).option("pathGlobFilter", files)
-    return reader.option("maxFilesPerTrigger", max_files_per_batch).parquet(path)
+    docs = reader.option("maxFilesPerTrigger", max_files_per_batch).parquet(path)
+    if spread_by is not None:
+        present = spark.read.schema(schema).option("pathGlobFilter", files).parquet(path)
+        cores = spark.sparkContext.defaultParallelism
+        if present.rdd.getNumPartitions() < cores:
+            docs = docs.repartition(cores, spread_by)
+    return docs
 
 
 def _run(writer) -> None:
