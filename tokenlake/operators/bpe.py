@@ -21,7 +21,7 @@ from __future__ import annotations
 import heapq
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tokenlake.functions import chars
@@ -32,7 +32,9 @@ from tokenlake.sources.job_checkpoint import JobCheckpoint
 from tokenlake.workspace import Workspace
 
 WORDS_PER_TASK = 10_000
-LOOP_PARTITIONS = 16
+LOOP_PARTITIONS = 8
+# Each select may refer to its own earlier columns; long chains resolve slowly.
+STAGES_PER_SELECT = 8
 
 # (left id, right id, new id)
 Rule = tuple[int, int, int]
@@ -115,10 +117,11 @@ def staged_deltas(words: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     ]
     # Position i of the list is a pair of the word before (removed) or after (added).
     place = "if(i < size(p), concat(p[i - 1], p[i]), concat(q[i - size(p)], q[i - size(p) + 1]))"
+    staged = words.filter(touched).select("freq", "word")
+    for at in range(0, len(versions), STAGES_PER_SELECT):
+        staged = staged.selectExpr("*", *versions[at : at + STAGES_PER_SELECT])
     return (
-        words.filter(touched)
-        .selectExpr("freq", "word", *versions)
-        .selectExpr(
+        staged.selectExpr(
             "freq",
             f"posexplode(array({', '.join(names[1:])})) as (stage, after)",
             f"array({', '.join(names[:-1])}) as earlier",
@@ -197,7 +200,14 @@ class _Guesser:
     """
 
     def __init__(self, words: DataFrame, limit: int):
-        rows = words.orderBy(F.desc("freq"), F.desc("word")).limit(limit).collect()
+        # Words per power of two of the count; no sort is needed to find the frequent ones.
+        sizes = words.groupBy(F.floor(F.log2("freq")).alias("power")).count().collect()
+        least, taken = 64, 0
+        for power, n in sorted(map(tuple, sizes), reverse=True):
+            if taken and taken + n > limit:
+                break
+            least, taken = power, taken + n
+        rows = words.filter(F.col("freq") >= F.lit(2**least)).limit(limit).collect()
         self.sample = [(r["word"], r["freq"]) for r in rows]
 
     def advance(self, rules: Sequence[Rule]) -> None:
@@ -294,7 +304,7 @@ def train_bpe_words(
     else:
         workspace.save(words.filter(F.length("word") > 1), "words")
         table = f"{workspace.path}/words"
-    loop = _loop_session(words.sparkSession)
+    loop = words.sparkSession.newSession()
     workspace.spark = loop
     current = _spread(loop.read.parquet(table)).persist()
     leaders = _Leaders(leaders_limit)
@@ -320,8 +330,10 @@ def train_bpe_words(
             leaders.apply(code, changed, rule[2])
         leaders.trim()
         guesser.advance(accepted)
-        # Guess a little further than this round got; few sizes, to share generated code.
-        k = min(max_guesses, max(8, -(-2 * len(accepted) // 8) * 8))
+        # Guess further than this round got; few sizes, to share generated code.
+        k = 8
+        while k < min(2 * len(accepted), max_guesses):
+            k = min(2 * k, max_guesses)
         rounds += 1
 
         # The new words are computed by the job of the next round, from the
@@ -341,20 +353,19 @@ def train_bpe_words(
     return merges[:n_merges]
 
 
-def _loop_session(spark: SparkSession) -> SparkSession:
-    """A session of the same application with settings for many small jobs: a
-    round shuffles only the pairs next to its merges, so a few fixed partitions
-    do and there is nothing to re-plan at run time."""
-    loop = spark.newSession()
-    loop.conf.set("spark.sql.adaptive.enabled", "false")
-    loop.conf.set("spark.sql.shuffle.partitions", str(min(LOOP_PARTITIONS, spark.sparkContext.defaultParallelism)))
-    return loop
-
-
 def _spread(words: DataFrame) -> DataFrame:
-    """Even partitions, with at most one task per core and no tiny tasks."""
-    cores = words.sparkSession.sparkContext.defaultParallelism
-    return words.repartition(max(1, min(cores, words.count() // WORDS_PER_TASK)), "word")
+    """Even partitions, with at most one task per core and no tiny tasks.
+
+    Also sets up the session of the loop, which runs many small jobs: a round
+    shuffles only the pairs next to its merges, so a few fixed partitions do and
+    there is nothing to re-plan at run time. Other sessions are not affected.
+    """
+    loop = words.sparkSession
+    cores = loop.sparkContext.defaultParallelism
+    tasks = max(1, min(cores, words.count() // WORDS_PER_TASK))
+    loop.conf.set("spark.sql.adaptive.enabled", "false")
+    loop.conf.set("spark.sql.shuffle.partitions", str(max(min(cores, LOOP_PARTITIONS), tasks // 8)))
+    return words.repartition(tasks, "word")
 
 
 def train_bpe(

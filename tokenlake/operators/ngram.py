@@ -61,10 +61,16 @@ def pair_nll(
     pairs: DataFrame, model: DataFrame, vocab_size: int, alpha: float = 1.0, groups: Sequence[str] = ()
 ) -> DataFrame:
     """(groups, context, target, n, nll): distinct held-out pairs with their
-    count and add-alpha negative log likelihood; unseen pairs get the floor."""
+    count and add-alpha negative log likelihood; unseen pairs get the floor.
+
+    ``model`` is read twice and measured, so it should be a table.
+    """
     held = pairs.groupBy(*groups, "context", "target").agg(F.count(F.lit(1)).alias("n"))
     totals = model.groupBy("context").agg(F.sum("cnt").alias("_total"))
-    known = join_groups(held, totals, ["context"], "left").join(model, ["context", "target"], "left")
+    # The totals have at most as many rows as the model.
+    model_bytes = table_bytes(model)
+    known = join_groups(held, totals, ["context"], "left", model_bytes)
+    known = join_groups(known, model, ["context", "target"], "left", model_bytes)
     seen = F.coalesce("cnt", F.lit(0)) + F.lit(float(alpha))
     mass = F.coalesce("_total", F.lit(0)) + F.lit(float(alpha) * vocab_size)
     return known.select(*groups, "context", "target", "n", (-F.log(seen / mass)).alias("nll"))

@@ -57,31 +57,37 @@ def example_features(encoded: DataFrame, labels: DataFrame, label: str = "qualit
     return counted.unionByName(bias)
 
 
-def _scored(examples: DataFrame, params: DataFrame, ids: Sequence[str]) -> DataFrame:
+def _scored(examples: DataFrame, params: DataFrame, ids: Sequence[str], param_bytes: int | None) -> DataFrame:
     """Examples with ``p``, the predicted probability of their label being 1."""
     values = params.select("run_id", "param_key", "value")
-    joined = join_groups(examples, values, ["run_id", "param_key"], "left", table_bytes(values))
+    if param_bytes is None:
+        param_bytes = table_bytes(values)
+    joined = join_groups(examples, values, ["run_id", "param_key"], "left", param_bytes)
     # One example per group: at most one row per vocabulary entry.
     example = Window.partitionBy(*ids)
     score = F.sum(F.coalesce("value", F.lit(0.0)) * F.col("x")).over(example)
     return joined.withColumn("p", 1.0 / (1.0 + F.exp(-score)))
 
 
-def gradient_sum(examples: DataFrame, params: DataFrame, ids: Sequence[str] = ("run_id", "doc_id")) -> DataFrame:
+def gradient_sum(
+    examples: DataFrame, params: DataFrame, ids: Sequence[str] = ("run_id", "doc_id"), param_bytes: int | None = None
+) -> DataFrame:
     """(run_id, param_key, grad): gradient of the mean log loss.
 
     ``examples`` are (ids, w, y, param_key, x), with ``w`` the number of times an
     example counts. Gradients combine on the map side, so frequent keys do not skew.
     """
-    scored = _scored(examples, params, ids)
+    scored = _scored(examples, params, ids, param_bytes)
     sums = scored.groupBy("run_id", "param_key").agg(F.sum(F.col("w") * (F.col("p") - F.col("y")) * F.col("x")).alias("_g"))
     sizes = examples.filter(F.col("param_key") == BIAS_KEY).groupBy("run_id").agg(F.sum("w").alias("_b"))
     return sums.join(F.broadcast(sizes), "run_id").select("run_id", "param_key", (F.col("_g") / F.col("_b")).alias("grad"))
 
 
-def mean_loss(examples: DataFrame, params: DataFrame, ids: Sequence[str] = ("run_id", "doc_id")) -> DataFrame:
+def mean_loss(
+    examples: DataFrame, params: DataFrame, ids: Sequence[str] = ("run_id", "doc_id"), param_bytes: int | None = None
+) -> DataFrame:
     """(run_id, loss): mean log loss per run."""
-    each = _scored(examples, params, ids).filter(F.col("param_key") == BIAS_KEY)
+    each = _scored(examples, params, ids, param_bytes).filter(F.col("param_key") == BIAS_KEY)
     nll = -F.log(F.when(F.col("y") > 0.5, F.col("p")).otherwise(1.0 - F.col("p")))
     return each.groupBy("run_id").agg((F.sum(F.col("w") * nll) / F.sum("w")).alias("loss"))
 
@@ -184,13 +190,14 @@ def train_loglinear(
         first, params = 1, workspace.save(init_params(keys, runs), "params-0")
         logged = []
     ids = ("run_id", key)
+    param_bytes = table_bytes(params)  # the keys stay the same
     sizes = F.create_map(*[F.lit(x) for r in runs for x in (r.run_id, r.batch_size)])
     started = time.perf_counter()
     for step in range(first, num_steps + 1):
         batch = batches.filter(F.col("step") == step).drop("step")
-        params = workspace.save(adamw_step(params, gradient_sum(batch, params, ids), step, runs), f"params-{step}")
+        params = workspace.save(adamw_step(params, gradient_sum(batch, params, ids, param_bytes), step, runs), f"params-{step}")
         if step % log_every == 0:
-            loss = mean_loss(batch, params, ids).select("run_id", F.lit(step).alias("step"), "loss")
+            loss = mean_loss(batch, params, ids, param_bytes).select("run_id", F.lit(step).alias("step"), "loss")
             per_second = (step - first + 1) / (time.perf_counter() - started)
             loss = loss.withColumn("ppl", F.exp("loss")).withColumn("rate", sizes[F.col("run_id")] * F.lit(per_second))
             logged.append(workspace.save(loss, f"log-{step}"))

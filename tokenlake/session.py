@@ -16,6 +16,10 @@ def build_session(master: str | None = None, app_name: str = "tokenlake", **conf
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
+        # Word counts of a stream outgrow the heap; this keeps them on disk.
+        "spark.sql.streaming.stateStore.providerClass": (
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+        ),
     }
     settings.update(conf)
     for key, value in settings.items():
