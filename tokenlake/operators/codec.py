@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from tokenlake.functions import chars, text
 from tokenlake.operators.tokenizer import Tokenizer
+from tokenlake.shipping import ship_package
 
 # Up to this many merges are replayed on whole documents by JVM expressions.
 FOLD_MERGES = 24
@@ -117,6 +118,7 @@ def _arrow_encoder(df: DataFrame, tokenizer: Tokenizer):
 
     A batch encodes its distinct new words once; each worker remembers words.
     """
+    ship_package(df.sparkSession)
     rules = df.sparkSession.sparkContext.broadcast(tokenizer.encode_rules())
 
     @F.pandas_udf("array<int>")
