@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from tokenlake.llm.byte_bpe import op3_byte_bpe
+from tokenlake.llm.license_scan import op9_license_scan
 from tokenlake.llm.secret_scan import op5_secret_scan
 
-QUERIES = {f.__name__: f for f in (op5_secret_scan,)}
+QUERIES = {f.__name__: f for f in (op3_byte_bpe, op5_secret_scan, op9_license_scan)}
 ORACLES: dict[str, str] = {}

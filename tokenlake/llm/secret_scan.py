@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tokenlake.llm.common import per_text, without
+from tokenlake.llm.common import per_text, table, without
 
 # Kinds in the order in which spans with one start are listed.
 KINDS = ("assign", "access", "hex", "github", "npm", "jwt", "card", "iban", "private_key")
@@ -184,8 +184,6 @@ def redact(docs: DataFrame, text_col: str = "text", mark: str = "[SECRET]") -> D
 
 def op5_secret_scan(spark, sf_dir):
     """Per document: counts of the base kinds, a digest of their spans, all spans."""
-    from tokenlake.llm.common import table
-
     found = find_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"))
     kinds = F.col("secrets.kind")
 
