@@ -16,6 +16,7 @@ checked) travels with the tasks.
 from __future__ import annotations
 
 import base64
+import hashlib
 import struct
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
@@ -173,23 +174,24 @@ def pack(ids: Sequence[int]) -> bytes:
     return struct.pack(f"<{len(ids)}I", *ids)
 
 
-# What a worker keeps between tasks: by vocabulary, the encoder and the words it has met.
-_WORKER: dict[int, tuple] = {}
+# What a worker keeps between tasks: by vocabulary, the words it has met.
+_WORKER: dict[str, dict[str, bytes]] = {}
 
 
 def _share(spark: SparkSession, ranks: Ranks):
     """The prepared encoder, sent once to every executor; its size is that of the vocabulary."""
-    return spark.sparkContext.broadcast((PrefixEncoder(ranks.tokens), ranks.pattern))
+    name = hashlib.sha256(repr((ranks.pattern, sorted(ranks.tokens.items()))).encode()).hexdigest()
+    return spark.sparkContext.broadcast((name, PrefixEncoder(ranks.tokens), ranks.pattern))
 
 
 def _text_encoder(shared) -> Callable[[str | None], bytes]:
     import regex
 
-    if shared.id not in _WORKER:
+    name, encoder, pattern = shared.value
+    if name not in _WORKER:
         _WORKER.clear()
-        _WORKER[shared.id] = {}
-    known: dict[str, bytes] = _WORKER[shared.id]
-    encoder, pattern = shared.value
+        _WORKER[name] = {}
+    known = _WORKER[name]
     split = regex.compile(pattern).findall
 
     def encode_text(text: str | None) -> bytes:
@@ -212,7 +214,7 @@ def _text_encoder(shared) -> Callable[[str | None], bytes]:
 
 
 def _ids_decoder(shared) -> Callable[[bytes | None], bytes]:
-    names = {rank: token for token, rank in shared.value[0].ranks.items()}
+    names = {rank: token for token, rank in shared.value[1].ranks.items()}
 
     def decode_ids(packed: bytes | None) -> bytes:
         return b"".join(map(names.__getitem__, memoryview(packed or b"").cast("I")))
