@@ -68,6 +68,40 @@ def per_text(
     return apply
 
 
+def cut_spans(df: DataFrame, text_col: str, spans_col: str, out: str, mark: str = "") -> DataFrame:
+    """``df`` with ``out``: the text with ``mark`` for each of its (start, end) spans.
+
+    Spans are in code points, sorted and without overlaps. A NULL text stays NULL; without spans a text stays as it is.
+    """
+    ship_package(df.sparkSession)
+
+    @F.arrow_udf("string")
+    def cut(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for texts, spans in batches:
+            out_texts = []
+            for text, found in zip(texts, spans):
+                if not text.is_valid or not found.is_valid or not len(found):
+                    out_texts.append(text.as_py())
+                    continue
+                whole, pieces, at = text.as_py(), [], 0
+                for span in found.as_py():
+                    pieces.append(whole[at : span["start"]])
+                    at = span["end"]
+                pieces.append(whole[at:])
+                out_texts.append(mark.join(pieces))
+            yield pa.array(out_texts, pa.string())
+
+    # Only texts with a span travel to Python.
+    touched = F.size(spans_col) > 0
+    new = cut(F.when(touched, F.col(text_col)), F.when(touched, F.col(spans_col)))
+    return df.withColumn(out, F.when(touched, new).otherwise(F.col(text_col)))
+
+
+def spans_text(spans_col: str) -> Column:
+    """start:end of each span, comma-joined."""
+    return F.array_join(F.transform(spans_col, lambda s: F.concat_ws(":", s["start"], s["end"])), ",")
+
+
 def without(df: DataFrame, names: Sequence[str]) -> DataFrame:
     """``df`` without columns that an operator is about to add under these names."""
     return df.drop(*[n for n in df.columns if n.lower() in {x.lower() for x in names}])
