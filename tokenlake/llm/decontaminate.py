@@ -62,7 +62,8 @@ def _hits(docs: DataFrame, windows: DataFrame, lengths: list[int], small: bool)
     found = None
     for length in lengths:
         hashed = _joined_hashes(docs, "_words", length, "_h")
-        placed = hashed.select("_key", "_words", F.posexplode("_h").alias("_at", "hash"))
+        # The outer form, as the plain one would add a filter that evaluates the hashes again and again.
+        placed = hashed.select("_key", "_words", F.posexplode_outer("_h").alias("_at", "hash"))
         known = windows.filter(F.col("length") == length)
         known = F.broadcast(known) if small else known
         same = F.slice("_words", F.col("_at") + 1, F.lit(length)) == F.col("words")

@@ -169,3 +169,40 @@ def rule_sql(rule: Rule) -> str:
     tests = [f"{rule.measure} < {rule.low}"] if rule.low is not None else []
     tests += [f"{rule.measure} > {rule.high}"] if rule.high is not None else []
     return f"(n_words >= {rule.from_words} AND ({' OR '.join(tests)}))"
+
+
+# Windows as text by position; the rules in the same words as above.
+ORACLE = rf"""
+WITH texts AS (
+    SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '{WORD}') AS w FROM documents
+), windows AS (
+    SELECT doc_id, i, array_to_string(w[i:i + {WINDOW - 1}], ' ') AS s
+    FROM (SELECT doc_id, w, unnest(range(1, len(w) - {WINDOW - 2})) AS i FROM texts)
+), twice AS (
+    SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, s) AS c FROM windows) WHERE c > 1
+), repeated AS (
+    SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + {WINDOW})) AS p FROM twice) GROUP BY doc_id
+), counted AS (
+    SELECT doc_id, t, w, len(w) AS n_words, length(regexp_replace(t, '{BLANK}', '', 'g')) AS word_chars,
+           length(regexp_replace(t, '{SYMBOL.replace("[", "[^", 1)}', '', 'g')) AS n_symbols,
+           list_filter(string_split(t, chr(10)), lambda l: regexp_matches(l, '{BLANK.replace("[", "[^", 1)}')) AS lines,
+           coalesce(n, 0) AS n_repeat_words
+    FROM texts LEFT JOIN repeated USING (doc_id)
+), measured AS (
+    SELECT *, len(lines) - len(list_distinct(lines)) AS n_dup_lines,
+           coalesce(word_chars / nullif(n_words, 0), 0) AS mean_word_chars,
+           coalesce(n_symbols / nullif(n_words, 0), 0) AS symbols_per_word,
+           coalesce((length(t) - length(replace(t, '!', ''))) / nullif(n_words, 0), 0) AS exclamations_per_word,
+           coalesce(len(list_filter(w, lambda x: lower(x) IN {STOP_WORDS})) / nullif(n_words, 0), 0) AS stop_word_share,
+           coalesce((len(lines) - len(list_distinct(lines))) / nullif(len(lines), 0), 0) AS duplicate_line_share,
+           coalesce(len(list_filter(w, lambda x: upper(x) = x AND lower(x) <> x)) / nullif(n_words, 0), 0) AS upper_case_word_share
+    FROM counted
+), judged AS (
+    SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words AS base_failed,
+           concat_ws(',', {", ".join(f"CASE WHEN {rule_sql(r)} THEN '{r.name}' END" for r in RULES)}) AS failed_rules
+    FROM measured
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND failed_rules = '' AS kept, failed_rules
+FROM judged
+"""

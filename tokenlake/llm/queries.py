@@ -2,9 +2,20 @@
 
 from __future__ import annotations
 
+from tokenlake.llm import decontaminate, line_dedup, quality_rules
 from tokenlake.llm.byte_bpe import op3_byte_bpe
+from tokenlake.llm.decontaminate import op10_decontaminate
 from tokenlake.llm.license_scan import op9_license_scan
+from tokenlake.llm.line_dedup import op1_line_dedup
+from tokenlake.llm.quality_rules import op2_quality_rules
 from tokenlake.llm.secret_scan import op5_secret_scan
 
-QUERIES = {f.__name__: f for f in (op3_byte_bpe, op5_secret_scan, op9_license_scan)}
-ORACLES: dict[str, str] = {}
+QUERIES = {
+    f.__name__: f
+    for f in (op1_line_dedup, op2_quality_rules, op3_byte_bpe, op5_secret_scan, op9_license_scan, op10_decontaminate)
+}
+ORACLES: dict[str, str] = {
+    "op1_line_dedup": line_dedup.ORACLE,
+    "op2_quality_rules": quality_rules.ORACLE,
+    "op10_decontaminate": decontaminate.ORACLE,
+}
