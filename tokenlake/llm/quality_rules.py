@@ -152,7 +152,9 @@ def apply_rules(docs: DataFrame, rules: Sequence[Rule] = RULES, text_col: str =
             "failed_rules": F.array_compact(names),
         }
     ).withColumn("kept", ~F.col("base_failed") & (F.size("failed_rules") == 0))
-    return judged.select(*clean.columns, *added)
+    # A generator stops filters on the verdict, which would otherwise be pushed below and evaluate every measure many times.
+    verdict = F.explode_outer(F.array("kept")).alias("kept")
+    return judged.select(*clean.columns, *added[:-1], verdict)
 
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
