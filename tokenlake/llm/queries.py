@@ -7,12 +7,25 @@ from tokenlake.llm.byte_bpe import op3_byte_bpe
 from tokenlake.llm.decontaminate import op10_decontaminate
 from tokenlake.llm.license_scan import op9_license_scan
 from tokenlake.llm.line_dedup import op1_line_dedup
+from tokenlake.llm.lm_score import op8_lm_score
+from tokenlake.llm.near_dedup import op7_near_dedup
 from tokenlake.llm.quality_rules import op2_quality_rules
 from tokenlake.llm.secret_scan import op5_secret_scan
+from tokenlake.llm.toxicity import op4_toxicity
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_line_dedup, op2_quality_rules, op3_byte_bpe, op5_secret_scan, op9_license_scan, op10_decontaminate)
+    for f in (
+        op1_line_dedup,
+        op2_quality_rules,
+        op3_byte_bpe,
+        op4_toxicity,
+        op5_secret_scan,
+        op7_near_dedup,
+        op8_lm_score,
+        op9_license_scan,
+        op10_decontaminate,
+    )
 }
 ORACLES: dict[str, str] = {
     "op1_line_dedup": line_dedup.ORACLE,
