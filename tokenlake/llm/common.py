@@ -35,6 +35,11 @@ def chunks(texts: pa.Array) -> Iterator[pa.Array]:
     """Slices of bounded size; a single longer text is a slice of its own."""
     if len(texts) == 0:
         return
+    if pa.types.is_nested(texts.type):
+        # Nested values have no cheap size each, so slices have the mean size.
+        step = max(1, len(texts) * CHUNK_BYTES // max(texts.nbytes, 1))
+        yield from (texts.slice(at, step) for at in range(0, len(texts), step))
+        return
     sizes = pc.binary_length(texts).fill_null(0).to_pylist()
     start, held = 0, 0
     for at, size in enumerate(sizes):

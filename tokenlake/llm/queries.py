@@ -11,6 +11,7 @@ from tokenlake.llm.lm_score import op8_lm_score
 from tokenlake.llm.near_dedup import op7_near_dedup
 from tokenlake.llm.quality_rules import op2_quality_rules
 from tokenlake.llm.secret_scan import op5_secret_scan
+from tokenlake.llm.suffix_dedup import op6_suffix_dedup
 from tokenlake.llm.toxicity import op4_toxicity
 
 QUERIES = {
@@ -21,6 +22,7 @@ QUERIES = {
         op3_byte_bpe,
         op4_toxicity,
         op5_secret_scan,
+        op6_suffix_dedup,
         op7_near_dedup,
         op8_lm_score,
         op9_license_scan,
