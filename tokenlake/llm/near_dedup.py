@@ -8,7 +8,9 @@ lies over it with a chance of about 1e-8 (0.156 ** 10). Every candidate is confi
 
 Buckets of many classes are not expanded into pairs. In each round the members of a bucket are compared with a few pivots,
 which are then done with; confirmed links merge components, and buckets whose members are all in one component are
-done. The others go on with further pivots (twice as many, up to a bound), so no link between components is lost.
+done. The others go on with further pivots (more in each round, up to a bound), so no link between components is lost.
+
+Joins that an exchange or a write follows leave hot keys to Spark's own splitting of skewed partitions; the others are salted.
 """
 
 from __future__ import annotations
@@ -38,8 +40,9 @@ CHUNKS = 10
 MAX_DISTANCE = 2 * CHUNKS - 1
 # Pairs of one pivot that a single task confirms.
 PAIRS_PER_SALT = 64
-# Pivots that one bucket uses in one round; the rest follow in later rounds.
-MAX_PIVOTS = 64
+# Pivots that one bucket uses in one round grow by this factor up to the bound; the rest follow in later rounds.
+PIVOT_GROWTH = 16
+MAX_PIVOTS = 1024
 # Shingles that are hashed for all signature values at a time.
 BLOCK = 4096
 
@@ -124,12 +127,12 @@ def _settled(work: Workspace, links: DataFrame, name: str) -> DataFrame:
     step = 0
     while True:
         step += 1
-        near = salted_join(both, labels.select(F.col("node").alias("a"), "label"), ["a"], rows_per_salt=20_000)
+        near = both.join(labels.select(F.col("node").alias("a"), "label"), "a")
         best = near.groupBy(F.col("b").alias("node")).agg(F.min("label").alias("near"))
         moved = labels.join(best, "node").select("node", "label", F.least("label", "near").alias("new"))
         moved = work.save(moved, f"{name}-m{step}")
         ends = moved.select(F.col("node").alias("new"), F.col("new").alias("end"))
-        jumped = salted_join(moved, ends, ["new"], rows_per_salt=20_000)
+        jumped = moved.join(ends, "new")
         after = work.save(jumped.select("node", F.col("end").alias("label"), (F.col("end") != F.col("label")).alias("changed")), f"{name}-{step}")
         labels = after.select("node", "label")
         if not after.filter("changed").limit(1).count():
@@ -146,7 +149,7 @@ def link_classes(work: Workspace, classes: DataFrame) -> DataFrame:
     rows = classes.select("node", F.explode(F.array(*slots)).alias("bucket"))
     # Buckets of one class are dropped after counting; the counts combine on the map side.
     shared = rows.groupBy("bucket").agg(F.min("node").alias("_low"), F.max("node").alias("_high")).filter("_low < _high")
-    buckets = work.save(salted_join(rows, shared.select("bucket"), ["bucket"], rows_per_salt=20_000), "buckets")
+    buckets = work.save(rows.join(shared.select("bucket"), "bucket"), "buckets")
     members = work.save(buckets.select("node").distinct().join(classes, "node"), "members")
     signed, texts = members.select("node", "n", "signature"), members.select("node", "text")
     linked, links, tried, labels, step = _confirmer(work.spark), None, None, None, 0
@@ -166,13 +169,13 @@ def link_classes(work: Workspace, classes: DataFrame) -> DataFrame:
         if not several.limit(1).count():
             return labels
         minor = salted_join(placed, several, ["bucket"], rows_per_salt=20_000).filter("label != major")
-        part = F.pmod(F.xxhash64("node", F.lit(step)), F.lit(min(1 << step, MAX_PIVOTS)))
+        part = F.pmod(F.xxhash64("node", F.lit(step)), F.lit(min(PIVOT_GROWTH**step, MAX_PIVOTS)))
         pivots = minor.groupBy("bucket", part.alias("part")).agg(F.min(F.struct("node", "label")).alias("p"))
         pivots = work.save(pivots.select("bucket", F.col("p.node").alias("pivot"), F.col("p.label").alias("own")), f"pivots-{step}")
         met = salted_join(placed, pivots, ["bucket"], rows_per_salt=20_000).filter("label != own")
         pairs = work.save(met.select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct(), f"pairs-{step}")
         # Far signatures and unequal sizes cannot be linked; the rest is confirmed on texts.
-        near = salted_join(pairs, signed.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("signature").alias("sa")), ["a"], rows_per_salt=20_000)
+        near = pairs.join(signed.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("signature").alias("sa")), "a")
         near = near.join(signed.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("signature").alias("sb")), "b")
         apart = F.size(F.filter(F.zip_with("sa", "sb", lambda x, y: x != y), lambda d: d))
         alike = (apart <= MAX_DISTANCE) & (100 * F.least("na", "nb") >= PERCENT * F.greatest("na", "nb"))
@@ -217,8 +220,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         named = firsts.join(labels, F.col("class") == F.col("node"), "left").select("class", "low", F.coalesce("label", "class").alias("label"))
         named = work.save(named, "named")
         least = named.groupBy("label").agg(F.min("low").alias("component_id"))
-        ids = salted_join(named.select("class", "label"), least, ["label"], rows_per_salt=20_000).select("class", "component_id")
-    found = salted_join(worded.select("_key", "class", "n").distinct(), ids, ["class"], rows_per_salt=20_000)
+        ids = named.select("class", "label").join(least, "label").select("class", "component_id")
+    found = worded.select("_key", "class", "n").distinct().join(ids, "class")
     out = clean.withColumn("_key", row_key(id_col, text_col)).join(found, "_key", "left")
     component = F.when(F.col("class").isNotNull(), F.col("component_id")).otherwise(F.col(id_col))
     out = out.withColumn("component_id", component).withColumn("n_shingles", F.coalesce("n", F.lit(0)).cast("long"))
