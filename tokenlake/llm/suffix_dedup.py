@@ -5,7 +5,8 @@ same anchors, and hold the 168 bytes before or behind one of them in full, so pl
 anchor with those bytes. A group compares the strings around its anchors: prefix polynomial hashes give the hash of each
 400-byte suffix prefix in constant time, hashes are sorted, and neighbours in that order are compared. Only prefixes of one
 length matter, so the sort needs no search for the common extension, and two independent 64-bit hashes replace
-the comparison of bytes. Equal surroundings are one row with a count; groups of many different surroundings are
+the comparison of bytes. Equal surroundings are one class with a count, found by a digest; where a group has one class, all its strings
+are repeated and no bytes move. Otherwise one place of each class brings its bytes. Groups of many classes are
 compared by Spark, string by string, instead of in one task.
 """
 
@@ -20,7 +21,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tokenlake.llm.common import per_text, table, without
-from tokenlake.operators.skew import salted_join
 from tokenlake.workspace import Workspace
 
 LENGTH = 400
@@ -29,7 +29,7 @@ ANCHOR = 64
 SIDE = (LENGTH - ANCHOR) // 2
 FRAME = LENGTH + SIDE
 # Different surroundings that a task compares at a time; larger groups are compared by Spark.
-GROUP = 256
+GROUP = 1024
 
 _SPAN = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())]))
 
@@ -77,7 +77,10 @@ def _sliding(values: np.ndarray, width: int, pick) -> np.ndarray:
 
 
 def anchors(data: bytes | None) -> list[dict]:
-    """Places of anchors, twice: with the bytes before (side 0) and the bytes behind (side 1)."""
+    """Places of anchors, twice: with the bytes before (side 0) and the bytes behind (side 1).
+
+    ``cid`` is a digest of the bytes around the anchor, ``size`` their number.
+    """
     if data is None or len(data) < LENGTH:
         return []
     hashed = _hasher(1)(data, ANCHOR)
@@ -87,18 +90,29 @@ def anchors(data: bytes | None) -> list[dict]:
     padded = np.concatenate([np.zeros(width - 1, np.uint64), least, np.zeros(width - 1, np.uint64)])
     places = np.flatnonzero(_sliding(padded, width, np.maximum) == hashed)
     keys = _hasher(2)(data, ANCHOR + SIDE).view(np.int64)
-    out = [{"pos": int(p), "side": 0, "key": int(keys[p - SIDE])} for p in places if p >= SIDE]
-    return out + [{"pos": int(p), "side": 1, "key": int(keys[p])} for p in places if p < len(keys)]
+    out = []
+    for side, found in ((0, places[places >= SIDE]), (1, places[places < len(keys)])):
+        for pos in map(int, found):
+            begin, cut = _frame(data, pos, side)
+            if len(cut) >= LENGTH:
+                digest = hashlib.md5(cut)
+                digest.update(b"%d" % begin if begin < 0 else b"")
+                out.append({"pos": pos, "side": side, "size": len(cut), "key": int(keys[pos if side else pos - SIDE]), "cid": digest.digest()})
+    return out
+
+
+def _frame(data: bytes, pos: int, side: int) -> tuple[int, bytes]:
+    """Where the surroundings of an anchor begin (before the text, if negative) and their bytes."""
+    begin = pos - (SIDE if side else 2 * SIDE)
+    return begin, data[max(begin, 0) : begin + FRAME]
 
 
 def _frames(pair: dict) -> list[dict]:
-    """The bytes around each place; ``off`` is where they begin in the frame."""
+    """The bytes around each wanted place; ``off`` is where they begin in the frame."""
     data, out = pair["text"].encode("utf-8", "surrogatepass"), []
     for place in pair["places"]:
-        begin = place["pos"] - (SIDE if place["side"] else 2 * SIDE)
-        cut = data[max(begin, 0) : begin + FRAME]
-        if len(cut) >= LENGTH:
-            out.append({"key": place["key"], "side": place["side"], "begin": begin, "off": max(-begin, 0), "bytes": cut})
+        begin, cut = _frame(data, place["pos"], place["side"])
+        out.append({"key": place["key"], "side": place["side"], "cid": place["cid"], "n": place["n"], "large": place["large"], "off": max(-begin, 0), "bytes": cut})
     return out
 
 
@@ -166,36 +180,44 @@ def dedup_strings(docs: DataFrame, text_col: str = "text") -> DataFrame:
     # Written down, so that a row keeps its number.
     numbered = work.save(clean.withColumn("_row", F.monotonically_increasing_id()), "rows")
     long, integer = T.LongType(), T.IntegerType()
-    place = _struct(pos=integer, side=integer, key=long)
+    binary = T.BinaryType()
+    place = _struct(pos=integer, side=integer, size=integer, key=long, cid=binary)
     find = per_text(spark, T.ArrayType(place), lambda: anchors, as_bytes=True)
     keys = numbered.select("_row", F.explode_outer(find(F.col(text_col))).alias("p")).filter("p is not null")
     keys = work.save(keys.select("_row", "p.*"), "keys")
     repeated = keys.groupBy("side", "key").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").drop("c")
-    shared = salted_join(keys, repeated, ["side", "key"], rows_per_salt=20_000)
-    wanted = shared.groupBy("_row").agg(F.collect_list(F.struct("pos", "side", "key")).alias("places"))
-    frame = _struct(key=long, side=integer, begin=integer, off=integer, bytes=T.BinaryType())
-    cut = per_text(spark, T.ArrayType(frame), lambda: _frames_of)
+    shared = work.save(keys.join(repeated, ["side", "key"]), "shared")
+    work.drop("keys")
+    begin = F.col("pos") - F.when(F.col("side") == 1, SIDE).otherwise(2 * SIDE)
+    classes = shared.groupBy("side", "key", "cid").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("_row", "pos", "size")).alias("p"))
+    classes = work.save(classes.select("side", "key", "cid", "n", "p.*"), "classes")
+    sizes = work.save(classes.groupBy("side", "key").agg(F.count(F.lit(1)).alias("c")), "sizes")
+    # All strings of a class that is alone in its group occur as often as the class.
+    alone = classes.join(sizes.filter("c = 1").select("side", "key"), ["side", "key"])
+    off = F.greatest(-begin, F.lit(0))
+    alone = alone.select("side", "key", "cid", F.array(F.struct(off.alias("start"), (off + F.col("size")).alias("end"))).alias("spans"))
+    mixed = classes.join(sizes.filter("c > 1"), ["side", "key"]).withColumn("large", F.col("c") > GROUP)
+    wanted = mixed.groupBy("_row").agg(F.collect_list(F.struct("pos", "side", "key", "cid", "n", "large")).alias("places"))
+    frame = _struct(key=long, side=integer, cid=binary, n=long, large=T.BooleanType(), off=integer, bytes=binary)
+    cut = per_text(spark, T.ArrayType(frame), lambda: _frames)
     pairs = numbered.select("_row", F.col(text_col).alias("text")).join(wanted, "_row")
-    frames = pairs.select("_row", F.explode_outer(cut(F.struct("text", "places"))).alias("f")).filter("f is not null")
-    frames = work.save(frames.select("_row", "f.*").withColumn("cid", F.unhex(F.md5(F.concat(F.col("off").cast("string").cast("binary"), "bytes")))), "frames")
-    members = frames.groupBy("side", "key", "cid").agg(F.first("off").alias("off"), F.first("bytes").alias("bytes"), F.count(F.lit(1)).alias("n"))
-    members = work.save(members, "members")
-    sizes = work.save(members.groupBy("side", "key").agg(F.count(F.lit(1)).alias("c"), F.max("n").alias("most")).filter("c > 1 OR most > 1"), "sizes")
-    small = members.join(sizes.filter(F.col("c") <= GROUP).select("side", "key"), ["side", "key"])
-    small = small.groupBy("side", "key").agg(F.collect_list(F.struct("cid", "off", "bytes", "n")).alias("g"))
-    result = T.ArrayType(_struct(cid=T.BinaryType(), spans=_SPAN))
+    members = pairs.select(F.explode_outer(cut(F.struct("text", "places"))).alias("f")).filter("f is not null")
+    members = work.save(members.select("f.*"), "members")
+    small = members.filter("NOT large").groupBy("side", "key").agg(F.collect_list(F.struct("cid", "off", "bytes", "n")).alias("g"))
+    result = T.ArrayType(_struct(cid=binary, spans=_SPAN))
     compare = per_text(spark, result, lambda: _compare)
-    done = small.select("side", "key", F.explode_outer(compare(F.col("g"))).alias("r")).select("side", "key", "r.*")
-    many = salted_join(members, sizes.filter(F.col("c") > GROUP).select("side", "key"), ["side", "key"], rows_per_salt=20_000)
+    done = small.select("side", "key", F.explode_outer(compare(F.col("g"))).alias("r")).filter("r is not null").select("side", "key", "r.*")
     each = per_text(spark, T.ArrayType(_struct(at=integer, one=long, two=long)), lambda: _each_string)
-    strings = many.select("side", "key", "cid", "n", F.explode_outer(each(F.struct("off", "bytes"))).alias("s"))
+    strings = members.filter("large").select("side", "key", "cid", "n", F.explode_outer(each(F.struct("off", "bytes"))).alias("s")).filter("s is not null")
     strings = work.save(strings.select("side", "key", "cid", "n", "s.*"), "strings")
     names = ["side", "key", "at", "one", "two"]
     twice = strings.groupBy(*names).agg(F.sum("n").alias("t")).filter("t > 1").drop("t")
-    spread = salted_join(strings.drop("n"), twice, names, rows_per_salt=20_000).groupBy("side", "key", "cid")
+    spread = strings.drop("n").join(twice, names).groupBy("side", "key", "cid")
     spread = spread.agg(F.collect_list(F.struct(F.col("at").alias("start"), (F.col("at") + LENGTH).alias("end"))).alias("spans"))
-    spans = work.save(done.unionByName(spread).filter(F.size("spans") > 0), "spans")
-    placed = salted_join(frames.select("_row", "side", "key", "cid", "begin"), spans, ["side", "key", "cid"], rows_per_salt=20_000)
+    spans = work.save(alone.unionByName(done).unionByName(spread).filter(F.size("spans") > 0), "spans")
+    work.drop("members")
+    work.drop("strings")
+    placed = shared.select("_row", "side", "key", "cid", begin.alias("begin")).join(spans, ["side", "key", "cid"])
     moved = F.transform("spans", lambda s: F.struct((s["start"] + F.col("begin")).alias("start"), (s["end"] + F.col("begin")).alias("end")))
     gone = placed.groupBy("_row").agg(F.flatten(F.collect_list(moved)).alias("spans"))
     kept = per_text(spark, _struct(n_bytes=long, n_removed=long, n_spans=long, kept=T.BinaryType(), kept_sha256=T.StringType()), lambda: _kept)
@@ -204,10 +226,6 @@ def dedup_strings(docs: DataFrame, text_col: str = "text") -> DataFrame:
     return out.select(*clean.columns, *[F.col(f"_k.{names.get(a, a)}").alias(a) for a in added])
 
 
-def _frames_of(pair: dict) -> list[dict]:
-    return _frames(pair) if pair["text"] is not None else []
-
-
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: bytes, removed bytes and runs, digest of what stays."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
