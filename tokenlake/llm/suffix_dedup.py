@@ -31,9 +31,6 @@ FRAME = LENGTH + SIDE
 # Different surroundings that a task compares at a time; larger groups are compared by Spark.
 GROUP = 1024
 
-_SPAN = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())]))
-
-
 def _struct(**fields: T.DataType) -> T.StructType:
     return T.StructType([T.StructField(name, kind) for name, kind in fields.items()])
 
@@ -47,18 +44,24 @@ def _hasher(seed: int):
     inverse = np.uint64(pow(base, -1, 1 << 64))
     base = np.uint64(base % (1 << 64))
 
+    def powers_of(factor: np.uint64, n: int) -> np.ndarray:
+        out = np.full(n, factor, np.uint64)
+        out[0] = 1
+        return np.multiply.accumulate(out)
+
+    # Most texts are shorter than this, so their powers are computed once.
+    ready = {factor: powers_of(factor, 1 << 16) for factor in (base, inverse)}
+
+    def powers(factor: np.uint64, n: int) -> np.ndarray:
+        return ready[factor][:n] if n <= 1 << 16 else powers_of(factor, n)
+
     def hashes(data: bytes, length: int) -> np.ndarray:
         n = len(data)
         if n < length:
             return np.empty(0, np.uint64)
-        powers = np.full(n, base, np.uint64)
-        powers[0] = 1
-        powers = np.multiply.accumulate(powers)
         sums = np.zeros(n + 1, np.uint64)
-        np.cumsum(values[np.frombuffer(data, np.uint8)] * powers, out=sums[1:])
-        back = np.full(n - length + 1, inverse, np.uint64)
-        back[0] = 1
-        found = (sums[length:] - sums[:-length]) * np.multiply.accumulate(back)
+        np.cumsum(values[np.frombuffer(data, np.uint8)] * powers(base, n), out=sums[1:])
+        found = (sums[length:] - sums[:-length]) * powers(inverse, n - length + 1)
         found ^= found >> np.uint64(29)
         found *= np.uint64(0xBF58476D1CE4E5B9)
         return found ^ (found >> np.uint64(32))
@@ -122,27 +125,26 @@ def _strings(member: dict) -> tuple[np.ndarray, np.ndarray]:
     return np.arange(len(one)) + member["off"], np.stack([one, two], axis=1)
 
 
-def _spans(places: np.ndarray) -> list[dict]:
-    out: list[dict] = []
-    for at in map(int, np.sort(places)):
-        if out and at <= out[-1]["end"]:
-            out[-1]["end"] = at + LENGTH
-        else:
-            out.append({"start": at, "end": at + LENGTH})
-    return out
-
-
 def _compare(members: list[dict]) -> list[dict]:
-    """Spans of each member, in the frame, whose strings occur in several places."""
+    """The span of each member, in the frame, that its strings with several places cover.
+
+    Any two strings of a frame overlap, so the first and the last one bound what they cover.
+    """
     found = [_strings(m) for m in members]
-    owner = np.concatenate([np.full(len(p), i) for i, (p, _) in enumerate(found)])
+    ends = np.cumsum([len(p) for p, _ in found])
     place, hashed = np.concatenate([p for p, _ in found]), np.concatenate([h for _, h in found])
-    order = np.lexsort((hashed[:, 1], hashed[:, 0], place))
+    # One sort key of place and first hash; neighbours are compared in full.
+    order = np.argsort(hashed[:, 0] ^ (place.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)))
     same = (place[order][1:] == place[order][:-1]) & (hashed[order][1:] == hashed[order][:-1]).all(axis=1)
-    twice = np.array([m["n"] > 1 for m in members])[owner]
+    twice = np.zeros(len(place), bool)
     twice[order[1:][same]] = True
     twice[order[:-1][same]] = True
-    return [{"cid": m["cid"], "spans": _spans(place[(owner == i) & twice])} for i, m in enumerate(members)]
+    out = []
+    for member, end, (places, _) in zip(members, ends, found):
+        hit = places if member["n"] > 1 else places[twice[end - len(places) : end]]
+        if len(hit):
+            out.append({"cid": member["cid"], "start": int(hit[0]), "end": int(hit[-1]) + LENGTH})
+    return out
 
 
 def _each_string(member: dict) -> list[dict]:
@@ -195,7 +197,7 @@ def dedup_strings(docs: DataFrame, text_col: str = "text") -> DataFrame:
     # All strings of a class that is alone in its group occur as often as the class.
     alone = classes.join(sizes.filter("c = 1").select("side", "key"), ["side", "key"])
     off = F.greatest(-begin, F.lit(0))
-    alone = alone.select("side", "key", "cid", F.array(F.struct(off.alias("start"), (off + F.col("size")).alias("end"))).alias("spans"))
+    alone = alone.select("side", "key", "cid", off.alias("start"), (off + F.col("size")).alias("end"))
     mixed = classes.join(sizes.filter("c > 1"), ["side", "key"]).withColumn("large", F.col("c") > GROUP)
     wanted = mixed.groupBy("_row").agg(F.collect_list(F.struct("pos", "side", "key", "cid", "n", "large")).alias("places"))
     frame = _struct(key=long, side=integer, cid=binary, n=long, large=T.BooleanType(), off=integer, bytes=binary)
@@ -204,7 +206,7 @@ def dedup_strings(docs: DataFrame, text_col: str = "text") -> DataFrame:
     members = pairs.select(F.explode_outer(cut(F.struct("text", "places"))).alias("f")).filter("f is not null")
     members = work.save(members.select("f.*"), "members")
     small = members.filter("NOT large").groupBy("side", "key").agg(F.collect_list(F.struct("cid", "off", "bytes", "n")).alias("g"))
-    result = T.ArrayType(_struct(cid=binary, spans=_SPAN))
+    result = T.ArrayType(_struct(cid=binary, start=integer, end=integer))
     compare = per_text(spark, result, lambda: _compare)
     done = small.select("side", "key", F.explode_outer(compare(F.col("g"))).alias("r")).filter("r is not null").select("side", "key", "r.*")
     each = per_text(spark, T.ArrayType(_struct(at=integer, one=long, two=long)), lambda: _each_string)
@@ -213,13 +215,13 @@ def dedup_strings(docs: DataFrame, text_col: str = "text") -> DataFrame:
     names = ["side", "key", "at", "one", "two"]
     twice = strings.groupBy(*names).agg(F.sum("n").alias("t")).filter("t > 1").drop("t")
     spread = strings.drop("n").join(twice, names).groupBy("side", "key", "cid")
-    spread = spread.agg(F.collect_list(F.struct(F.col("at").alias("start"), (F.col("at") + LENGTH).alias("end"))).alias("spans"))
-    spans = work.save(alone.unionByName(done).unionByName(spread).filter(F.size("spans") > 0), "spans")
+    spread = spread.agg(F.min("at").alias("start"), (F.max("at") + LENGTH).alias("end"))
+    spans = work.save(alone.unionByName(done).unionByName(spread), "spans")
     work.drop("members")
     work.drop("strings")
     placed = shared.select("_row", "side", "key", "cid", begin.alias("begin")).join(spans, ["side", "key", "cid"])
-    moved = F.transform("spans", lambda s: F.struct((s["start"] + F.col("begin")).alias("start"), (s["end"] + F.col("begin")).alias("end")))
-    gone = placed.groupBy("_row").agg(F.flatten(F.collect_list(moved)).alias("spans"))
+    moved = F.struct((F.col("start") + F.col("begin")).alias("start"), (F.col("end") + F.col("begin")).alias("end"))
+    gone = placed.groupBy("_row").agg(F.collect_list(moved).alias("spans"))
     kept = per_text(spark, _struct(n_bytes=long, n_removed=long, n_spans=long, kept=T.BinaryType(), kept_sha256=T.StringType()), lambda: _kept)
     out = numbered.join(gone, "_row", "left").withColumn("_k", kept(F.struct(F.col(text_col).alias("text"), "spans")))
     names = {"kept_bytes": "kept"}
