@@ -149,7 +149,9 @@ def link_classes(work: Workspace, classes: DataFrame) -> DataFrame:
     rows = classes.select("node", F.explode(F.array(*slots)).alias("bucket"))
     # Buckets of one class are dropped after counting; the counts combine on the map side.
     shared = rows.groupBy("bucket").agg(F.min("node").alias("_low"), F.max("node").alias("_high")).filter("_low < _high")
-    buckets = work.save(rows.join(shared.select("bucket"), "bucket"), "buckets")
+    # Written first, so that Spark can split hot buckets in the join.
+    shared = work.save(shared.select("bucket"), "shared")
+    buckets = work.save(rows.join(shared, "bucket"), "buckets")
     members = work.save(buckets.select("node").distinct().join(classes, "node"), "members")
     signed, texts = members.select("node", "n", "signature"), members.select("node", "text")
     linked, links, tried, labels, step = _confirmer(work.spark), None, None, None, 0

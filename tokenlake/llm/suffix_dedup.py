@@ -188,6 +188,8 @@ def dedup_strings(docs: DataFrame, text_col: str = "text") -> DataFrame:
     keys = numbered.select("_row", F.explode_outer(find(F.col(text_col))).alias("p")).filter("p is not null")
     keys = work.save(keys.select("_row", "p.*"), "keys")
     repeated = keys.groupBy("side", "key").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").drop("c")
+    # Written first, so that Spark can split hot keys in the join.
+    repeated = work.save(repeated, "repeated")
     shared = work.save(keys.join(repeated, ["side", "key"]), "shared")
     work.drop("keys")
     begin = F.col("pos") - F.when(F.col("side") == 1, SIDE).otherwise(2 * SIDE)
