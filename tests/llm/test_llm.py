@@ -1,5 +1,6 @@
 """The text operators against brute force on small tables with NULLs, empty texts, ties and repeated rows."""
 
+import math
 from collections import Counter
 
 import pytest
@@ -129,6 +130,37 @@ def test_language_model_prefers_the_order_it_has_seen(spark, docs):
     assert lm_score.score_texts(docs, lm_score.train_network(docs.limit(0))).count() == docs.count()
 
 
+def test_rare_words_are_predicted_and_not_only_their_class(spark, monkeypatch):
+    # Shares of 1 leave no word but own ones to the tasks, so that counts come from the join.
+    common = [(i, " ".join(f"c{j}" for j in range(300))) for i in range(30)]
+    corpus = spark.createDataFrame([*common, (99, "once")], "doc_id long, text string")
+    clean = [f"c{j}" for j in range(300)]
+    names = {}
+    for i in range(100_000):
+        names.setdefault(lm_score.hashed_class(f"x{i}"), f"x{i}")
+    got = []
+    for shares in (lm_score.SHARES, 1):
+        monkeypatch.setattr(lm_score, "SHARES", shares)
+        model = lm_score.train_network(corpus)
+        assert model.n_words == 301 and model.words.count() == 301 and (len(model.frequent) == 0) == (shares == 1)
+        # Each word without an own class gives way to one of the same class that the corpus does not have.
+        garbage = [w if w in model.net.own else names[lm_score.hashed_class(w)] for w in clean]
+        assert garbage != clean
+        probe = spark.createDataFrame([(1, " ".join(clean)), (2, " ".join(garbage)), (3, None)], "doc_id long, text string")
+        got.append({r["doc_id"]: r["log_likelihood"] for r in lm_score.score_texts(probe, model).collect()})
+        changed = sum(a != b for a, b in zip(clean, garbage))
+        assert got[-1][2] < got[-1][1] - 8 * changed and got[-1][3] == 0
+        shared = [w for w in clean if w not in model.net.own]
+        totals = {c: sum(30 for w in shared if lm_score.hashed_class(w) == c) + (lm_score.hashed_class("once") == c) for c in range(256)}
+        kinds = {c: sum(lm_score.hashed_class(w) == c for w in [*shared, "once"]) for c in range(256)}
+        want = lm_score.pseudo_likelihood(model.net, lm_score.classes_of(clean, model.net.own))
+        for w in shared:
+            c = lm_score.hashed_class(w)
+            want += math.log(30.5 / (totals[c] + 0.5 * (kinds[c] + 1)))
+        assert got[-1][1] == pytest.approx(want, rel=1e-6)
+    assert got[0][2] == pytest.approx(got[1][2], rel=1e-4)
+
+
 def test_redaction_keeps_clean_texts(docs):
     rows = Counter((r["doc_id"], r["text"]) for r in redact(docs).collect())
     assert rows == Counter((r["doc_id"], r["text"]) for r in docs.collect())

@@ -4,7 +4,11 @@ A small network predicts every word class from the classes on both sides: the ve
 side, one table per distance, are summed, and a softmax layer gives the conditional probabilities. The score of a text is
 the sum of the log-probabilities of its words, each one masked in turn.
 
-Word classes are the most frequent words of the whole corpus, and hashed classes for the rest. Training reads all rows:
+Word classes are the most frequent words of the whole corpus, and hashed classes for the rest. A word of a hashed class is
+predicted in two steps: its class by the network, then the word in its class by its share of the class in the whole corpus.
+The counts of all words stay a Spark table, which grows with the corpus; only those of frequent words travel with the tasks.
+
+Training reads all rows:
 each task runs plain gradient steps in numpy over its texts, starting from the shared weights, and the weights of all tasks
 are averaged by their number of words, with sums by Spark; a round is one such pass.
 """
@@ -24,6 +28,7 @@ from pyspark.sql import types as T
 
 from tokenlake.llm.common import per_text, table, without
 from tokenlake.shipping import ship_package
+from tokenlake.workspace import Workspace
 
 # Fixed sizes of the network: classes with a word of their own, all classes (0 is beyond the text), vector width, neighbours.
 OWN_CLASSES = 192
@@ -35,6 +40,10 @@ RATE = 0.5
 # Positions per gradient step.
 STEP = 4096
 HELD = 300_000
+# Counts of words with at least this share of all occurrences travel with the tasks; so many words can have it at most.
+SHARES = 50_000
+# Added to each count of a word in its class, and to that of all unseen words together.
+PLUS = 0.5
 OFFSETS = [d for d in range(-REACH, REACH + 1) if d]
 
 
@@ -56,12 +65,28 @@ class Network:
         return Network(self.own, flat[:a].reshape(self.inputs.shape), flat[a:b].reshape(self.outputs.shape), flat[b:].copy())
 
 
-def classes_of(text: str | None, own: dict[str, int]) -> np.ndarray:
-    """Class ids of the words of a text."""
-    words = text.lower().split() if text else []
-    rest = CLASSES - 1 - OWN_CLASSES
-    found = (own.get(w) or 1 + OWN_CLASSES + zlib.crc32(w.encode("utf-8", "replace")) % rest for w in words)
-    return np.fromiter(found, np.int32, len(words))
+@dataclass(frozen=True)
+class Model:
+    """A network, and what predicts a word within its class."""
+
+    net: Network
+    words: DataFrame  # word, n: all words of the corpus
+    n_words: int  # rows of ``words``
+    frequent: dict[str, int]  # counts of frequent words
+    totals: np.ndarray  # class: log of the smoothed count of its words; 0 for a class of one own word
+
+
+def words_of(text: str | None) -> list[str]:
+    return text.lower().split() if text else []
+
+
+def hashed_class(word: str) -> int:
+    return 1 + OWN_CLASSES + zlib.crc32(word.encode("utf-8", "replace")) % (CLASSES - 1 - OWN_CLASSES)
+
+
+def classes_of(words: list[str], own: dict[str, int]) -> np.ndarray:
+    """Class ids of words."""
+    return np.fromiter((own.get(w) or hashed_class(w) for w in words), np.int32, len(words))
 
 
 def _neighbours(ids: np.ndarray) -> np.ndarray:
@@ -114,7 +139,7 @@ def _word_counts(docs: DataFrame, text_col: str) -> DataFrame:
 
         for batch in batches:
             for text in batch.column(0):
-                held.update((text.as_py() or "").lower().split())
+                held.update(words_of(text.as_py()))
                 if len(held) > HELD:
                     yield out()
                     held = Counter()
@@ -124,13 +149,36 @@ def _word_counts(docs: DataFrame, text_col: str) -> DataFrame:
     return docs.select(text_col).mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def train_network(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS, seed: int = 7) -> Network:
-    """A network for the texts of ``docs``; the same rows in the same partitions give the same one up to rounding.
+def _class_totals(words: DataFrame, own: dict[str, int]) -> tuple[int, np.ndarray]:
+    """Number of all words, and the log of the smoothed count of the words of each hashed class."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen, kinds = np.zeros(CLASSES, np.int64), np.zeros(CLASSES, np.int64)
+        for batch in batches:
+            ids = classes_of(batch.column(0).to_pylist(), own)
+            np.add.at(seen, ids, batch.column(1).to_numpy())
+            np.add.at(kinds, ids, 1)
+        yield pa.record_batch([pa.array(np.arange(CLASSES)), pa.array(seen), pa.array(kinds)], names=["class", "seen", "kinds"])
+
+    sums = words.mapInArrow(count, "class long, seen long, kinds long").groupBy("class").agg(F.sum("seen").alias("seen"), F.sum("kinds").alias("kinds"))
+    seen, kinds = np.zeros(CLASSES), np.zeros(CLASSES, np.int64)
+    for r in sums.collect():
+        seen[r["class"]], kinds[r["class"]] = r["seen"], r["kinds"]
+    totals = np.log(seen + PLUS * (kinds + 1))
+    totals[: 1 + OWN_CLASSES] = 0
+    return int(kinds.sum()), totals
+
+
+def train_network(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS, seed: int = 7) -> Model:
+    """A model of the texts of ``docs``; the same rows in the same partitions give the same one up to rounding.
 
     NULL and empty texts add nothing; without words the network stays as it began.
     """
-    frequent = _word_counts(docs, text_col).orderBy(F.desc("n"), "word").limit(OWN_CLASSES).collect()
-    own = {r["word"]: at + 1 for at, r in enumerate(frequent)}
+    words = Workspace(docs.sparkSession, "lm-score").save(_word_counts(docs, text_col), "words")
+    own = {r["word"]: at + 1 for at, r in enumerate(words.orderBy(F.desc("n"), "word").limit(OWN_CLASSES).collect())}
+    n_words, totals = _class_totals(words, own)
+    occurrences = words.agg(F.sum("n")).first()[0] or 0
+    frequent = {r["word"]: r["n"] for r in words.filter(F.col("n") * SHARES >= occurrences).collect()}
     rng = np.random.default_rng(seed)
     net = Network(
         own,
@@ -152,7 +200,7 @@ def train_network(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS,
 
             for batch in batches:
                 for text in batch.column(0):
-                    ids = classes_of(text.as_py(), mine.own)
+                    ids = classes_of(words_of(text.as_py()), mine.own)
                     seen, positions = seen + len(ids), positions + len(ids)
                     held.append(ids)
                     if positions >= STEP:
@@ -175,30 +223,46 @@ def train_network(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS,
         flat = np.empty(len(mean))
         flat[[r["at"] for r in mean]] = [r["value"] for r in mean]
         net = net.with_flat(flat)
-    return net
+    return Model(net, words, n_words, frequent, totals)
 
 
-def score_texts(docs: DataFrame, net: Network, text_col: str = "text") -> DataFrame:
+def score_texts(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """``docs`` with n_words (BIGINT), log_likelihood (the sum) and mean_log_likelihood (per word).
 
+    A word that the corpus of the model has not seen shares the rest of its class with as many others as there are words.
     NULL, empty and wordless texts have 0 words, sum 0 and a NULL mean. Every input row gives one row; columns with
     the names of added ones are replaced.
     """
     added = ("n_words", "log_likelihood", "mean_log_likelihood")
     clean = without(docs, added)
-    shared = docs.sparkSession.sparkContext.broadcast(net)
-    kind = T.StructType([T.StructField("n", T.LongType()), T.StructField("sum", T.DoubleType())])
+    shared = docs.sparkSession.sparkContext.broadcast((model.net, model.frequent, model.totals))
+    kind = T.StructType(
+        [T.StructField("n", T.LongType()), T.StructField("sum", T.DoubleType()), T.StructField("others", T.ArrayType(T.StringType()))]
+    )
 
     def make():
+        net, frequent, totals = shared.value
+        logs = {w: float(np.log(n + PLUS)) for w, n in frequent.items() if w not in net.own}
+
         def score(text: str | None) -> dict:
-            ids = classes_of(text, shared.value.own)
-            return {"n": len(ids), "sum": pseudo_likelihood(shared.value, ids)}
+            words = words_of(text)
+            ids = classes_of(words, net.own)
+            rest = [w for w in words if w not in net.own]
+            within = sum(logs.get(w, 0.0) for w in rest) - float(totals[ids].sum())
+            return {"n": len(ids), "sum": pseudo_likelihood(net, ids) + within, "others": [w for w in rest if w not in logs]}
 
         return score
 
-    scored = clean.withColumn("_s", per_text(docs.sparkSession, kind, make)(F.col(text_col)))
-    mean = F.when(F.col("_s.n") > 0, F.col("_s.sum") / F.col("_s.n"))
-    return scored.select(*clean.columns, F.col("_s.n").alias(added[0]), F.col("_s.sum").alias(added[1]), mean.alias(added[2]))
+    # Written first, so that the numbers of rows hold and each text is scored once.
+    scored = clean.withColumn("_row", F.monotonically_increasing_id()).withColumn("_s", per_text(docs.sparkSession, kind, make)(F.col(text_col)))
+    scored = Workspace(docs.sparkSession, "lm-score").save(scored, "scored")
+    # Counts of words that are not frequent are looked up by a join; no such word has many of the rows.
+    others = scored.select("_row", F.explode("_s.others").alias("word")).join(model.words, "word", "left")
+    log = F.when(F.col("n").isNull(), F.lit(float(np.log(PLUS) - np.log(model.n_words + 1)))).otherwise(F.log(F.col("n") + F.lit(PLUS)))
+    others = others.groupBy("_row").agg(F.sum(log).alias("_others"))
+    total = F.col("_s.sum") + F.coalesce("_others", F.lit(0.0))
+    mean = F.when(F.col("_s.n") > 0, total / F.col("_s.n"))
+    return scored.join(others, "_row", "left").select(*clean.columns, F.col("_s.n").alias(added[0]), total.alias(added[1]), mean.alias(added[2]))
 
 
 def op8_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
