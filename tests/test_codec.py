@@ -129,3 +129,27 @@ def test_tokenizer_files(spark, tok, tmp_path):
     }
     (tmp_path / "one.json").write_text(json.dumps(document))
     assert tokenizer_io.load_json(spark, str(tmp_path / "one.json")).encode_rules() == tok.encode_rules()
+
+
+def test_decode_by_join_keeps_repeated_keys_and_null(spark):
+    rows = [(1, [97, 98]), (1, [99]), (None, [100]), (2, None), (3, [])]
+    df = spark.createDataFrame(rows, "doc_id long, ids array<int>")
+    for method in ("lookup", "join"):
+        got = [(r["doc_id"], r["text"]) for r in codec.decode(df, Tokenizer(), method=method).collect()]
+        assert sorted(got, key=str) == sorted([(1, "ab"), (1, "c"), (None, "d"), (2, None), (3, "")], key=str)
+
+
+def test_merges_out_of_learning_order_follow_the_lowest_rank(spark, monkeypatch):
+    df = spark.createDataFrame([(1, "abc ababc abab")], "doc_id long, text string")
+    # 256 = ab+c before 257 = ab; and 256 = ab+a, which a single merge makes best.
+    for merges in ((Merge(257, 99), Merge(97, 98)), (Merge(257, 97), Merge(97, 98))):
+        table = {257: b"ab", 256: b"ab" + bytes([merges[0].b])}
+        vocab = (*[bytes([i]) for i in range(256)], table[256], table[257])
+        tok = Tokenizer(merges, loaded_vocab=vocab)
+        monkeypatch.setattr(Tokenizer, "encode_rules", lambda self: [(257, self.merges[0].b, 256), (97, 98, 257)])
+        wanted = {1: plain.encode_text("abc ababc abab", tok.encode_rules(), {})}
+        for bound in (0, 2_000):
+            monkeypatch.setattr(codec, "RULES_PER_PASS", bound)
+            for method in ("auto", "fold", "arrow"):
+                assert encoded_ids(codec.encode(df, tok, method=method)) == wanted
+        assert 256 in wanted[1]

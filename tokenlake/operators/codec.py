@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from tokenlake.functions import chars, text
 from tokenlake.operators.tokenizer import Tokenizer
 from tokenlake.shipping import ship_package
+from tokenlake.workspace import Workspace
 
 # Up to this many merges are replayed on whole documents by JVM expressions.
 FOLD_MERGES = 24
@@ -84,8 +85,21 @@ def folded(column: Column, tokenizer: Tokenizer) -> Column:
     return F.replace(marked, F.lit(chars.BOUNDARY), F.lit(""))
 
 
+def in_learning_order(rules: Sequence[tuple[int, int, int]]) -> bool:
+    """Whether no pair repeats and every pair ranks after all rules that emit one of its ids.
+
+    Only then do a replay in list order and merging all occurrences at once equal merging the leftmost pair of lowest rank.
+    """
+    last = {emitted: rank for rank, (_, _, emitted) in enumerate(rules)}
+    later = (rank <= max(last.get(a, -1), last.get(b, -1)) for rank, (a, b, _) in enumerate(rules))
+    return len({(a, b) for a, b, _ in rules}) == len(rules) and not any(later)
+
+
 def _words_encoder(rules: Sequence[tuple[int, int, int]]):
     """A function from char-coded words to their char-coded tokens."""
+    ordered = in_learning_order(rules)
+    # Occurrences of the best pair that are merged at a time: all, or the leftmost.
+    at_once = -1 if ordered else 1
     olds = [chars.symbol(a) + chars.symbol(b) for a, b, _ in rules]
     news = [chars.symbol(c) for _, _, c in rules]
     ranks = {(old[0], old[1]): rank for rank, old in enumerate(olds)}
@@ -100,17 +114,16 @@ def _words_encoder(rules: Sequence[tuple[int, int, int]]):
     def by_word(words: Sequence[str]) -> list[str]:
         out = []
         for word in words:
-            # All occurrences of the lowest-ranked pair are merged at once;
-            # pairs made by them rank later.
+            # In learning order, pairs made by the lowest-ranked pair rank later.
             while len(word) > 1:
                 best = min(map(ranks.get, zip(word, word[1:]), repeat(none)))
                 if best == none:
                     break
-                word = word.replace(olds[best], news[best])
+                word = word.replace(olds[best], news[best], at_once)
             out.append(word)
         return out
 
-    return by_rule if len(rules) <= RULES_PER_PASS else by_word
+    return by_rule if ordered and len(rules) <= RULES_PER_PASS else by_word
 
 
 def _arrow_encoder(df: DataFrame, tokenizer: Tokenizer):
@@ -157,7 +170,10 @@ def encode(
 
     ``fold`` replays the merges with JVM expressions and suits small
     vocabularies; ``arrow`` looks words up in Python workers and suits large ones.
+    Merges out of learning order always go the second way.
     """
+    if method in ("auto", "fold") and not in_learning_order(tokenizer.encode_rules()):
+        method = "arrow"
     if method == "auto":
         method = "fold" if len(tokenizer.merges) <= FOLD_MERGES else "arrow"
     if method == "fold":
@@ -178,7 +194,7 @@ def _readable(latin: Column) -> Column:
 
 
 def _unknown(token: Column) -> Column:
-    return F.raise_error(F.concat(F.lit("unknown token id "), token.cast("string"))).cast("string")
+    return F.raise_error(F.concat(F.lit("unknown token id "), F.coalesce(token.cast("string"), F.lit("NULL")))).cast("string")
 
 
 def decode(
@@ -188,10 +204,10 @@ def decode(
     keep: Sequence[str] = ("doc_id",),
     method: str = "auto",
 ) -> DataFrame:
-    """(keep, text). An id outside the vocabulary fails the job.
+    """(keep, text), one row per input row; NULL ids give a NULL text. An id outside the vocabulary fails the job.
 
     ``lookup`` indexes a literal array of the vocabulary inside the row; ``join``
-    is for vocabularies too large for that and needs ``keep`` to be a key.
+    is for vocabularies too large for that.
     """
     pieces = [t.decode("latin-1") for t in tokenizer.token_bytes]
     if method == "auto":
@@ -205,13 +221,15 @@ def decode(
     vocab = tokenizer.vocab_table(encoded.sparkSession).select(
         "token_id", F.decode("token", "ISO-8859-1").alias("piece")
     )
-    tokens = encoded.select(*keep, F.posexplode_outer(ids_col).alias("pos", "token_id"))
-    found = tokens.join(vocab, "token_id", "left").withColumn(
-        "piece", F.when(F.col("token_id").isNotNull(), F.coalesce("piece", _unknown(F.col("token_id"))))
-    )
-    ordered = F.array_sort(F.collect_list(F.when(F.col("pos").isNotNull(), F.struct("pos", "piece"))))
-    texts = found.groupBy(*keep).agg(ordered.alias("parts"))
-    return texts.select(*keep, _readable(F.array_join(F.col("parts.piece"), "")).alias("text"))
+    # Written first, so that the numbers of rows hold.
+    rows = encoded.select(F.monotonically_increasing_id().alias("_row"), F.struct(*keep).alias("_keep"), F.col(ids_col).alias("_ids"))
+    rows = Workspace(encoded.sparkSession, "decode").save(rows, "rows")
+    tokens = rows.select("_row", F.posexplode("_ids").alias("pos", "token_id"))
+    found = tokens.join(vocab, "token_id", "left").withColumn("piece", F.coalesce("piece", _unknown(F.col("token_id"))))
+    ordered = F.array_sort(F.collect_list(F.struct("pos", "piece")))
+    texts = found.groupBy("_row").agg(F.array_join(F.transform(ordered, lambda p: p["piece"]), "").alias("_latin"))
+    latin = F.when(F.col("_ids").isNotNull(), F.coalesce("_latin", F.lit("")))
+    return rows.join(texts, "_row", "left").select(*[F.col("_keep")[k].alias(k) for k in keep], _readable(latin).alias("text"))
 
 
 def roundtrip_check(
