@@ -98,6 +98,16 @@ def test_lines_keep_their_first_place(docs):
     assert rows[4]["n_removed"] == 0 and rows[5]["n_removed"] == 1 and rows[5]["kept_text"] == ""
 
 
+def test_short_lines_and_lines_without_blanks_are_deduplicated(spark):
+    verse, han = "oh\nmy love\n\n}", "\u6587" * 500
+    rows = [(1, verse), (2, verse), (3, han), (4, "new\n" + han)]
+    got = {r["doc_id"]: r for r in dedup_units(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[1]["n_removed"] == got[3]["n_removed"] == 0
+    assert got[2]["kept_text"] == "\n\n\n" and got[2]["n_removed"] == 3 and got[4]["kept_text"] == "new\n"
+    few = dedup_units(spark.createDataFrame(rows, "doc_id long, text string"), min_words=5).collect()
+    assert sum(r["n_removed"] for r in few) == 0
+
+
 def test_benchmark_windows(spark, docs):
     items = spark.createDataFrame([(1, words(9, 12)), (2, None), (3, ""), (4, "two words")], "item_id long, text string")
     rows = {r["doc_id"]: r for r in decontaminate.decontaminate(docs, items).collect()}

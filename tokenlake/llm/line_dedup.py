@@ -4,8 +4,8 @@ A text is cut into units; a unit is normalised (lower case, runs of blanks as on
 Digests are grouped over the whole corpus with map-side combining; the earliest occurrence by (rank, position)
 stays and the others go. Offsets are those of the original text.
 
-Units with few words (a closing bracket, a heading) are never removed, since they repeat in clean texts. A digest that
-a large share of all units has is joined in several tasks.
+Every unit that is not blank is hashed, unless a least number of words is asked for. The registered query asks for
+``MIN_WORDS``, as its SQL does. A digest that a large share of all units has is joined in several tasks.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from tokenlake.llm.common import cut_spans, per_text, row_key, spans_text, table
 from tokenlake.operators.skew import salted_join
 from tokenlake.workspace import Workspace
 
-# Separators of the two kinds of units, and blanks between words.
+# Separators of the two kinds of units, blanks between words, and the least words of a line in the query.
 SEPARATORS = {"line": "\n", "paragraph": "\n\n"}
 BLANKS = " \t\n\x0b\x0c\r"
 MIN_WORDS = 5
@@ -56,7 +56,7 @@ def _splitter(separator: str, min_words: int) -> Callable[[str | None], dict]:
 
 
 def dedup_units(
-    docs: DataFrame, rank: str = "doc_id", text_col: str = "text", unit: str = "line", min_words: int = MIN_WORDS
+    docs: DataFrame, rank: str = "doc_id", text_col: str = "text", unit: str = "line", min_words: int = 1
 ) -> DataFrame:
     """``docs`` with n_units, n_removed, removed_spans and kept_text.
 
@@ -109,7 +109,8 @@ def dedup_units(
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: lines, removed lines and their offsets, digest of what stays."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return dedup_units(docs).select(
+    # The SQL of this query leaves shorter lines alone.
+    return dedup_units(docs, min_words=MIN_WORDS).select(
         "doc_id",
         "n_units",
         "n_removed",
