@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tokenlake.llm.byte_bpe import encode_and_decode, multilingual_ranks
 from tokenlake.llm.common import table
 from tokenlake.llm.decontaminate import decontaminate
-from tokenlake.llm.near_dedup import near_duplicates
+from tokenlake.llm.near_dedup import one_of_each
 from tokenlake.llm.quality_rules import apply_rules
 from tokenlake.llm.secret_scan import redact
 from tokenlake.workspace import Workspace
@@ -24,8 +24,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that of the smallest id, of each group of near duplicates."""
-    return near_duplicates(docs).filter("kept").select(*docs.columns)
+    """One row, the first by id and content, of each group of near duplicates; of repeated rows one stays."""
+    return one_of_each(docs)
 
 
 def clean_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

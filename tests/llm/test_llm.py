@@ -5,6 +5,7 @@ from collections import Counter
 
 import pytest
 
+import corpus_pipeline
 from tokenlake.llm import decontaminate, lm_score, near_dedup, suffix_dedup, toxicity
 from tokenlake.llm.line_dedup import dedup_units
 from tokenlake.llm.quality_rules import apply_rules
@@ -83,6 +84,21 @@ def test_many_near_copies_are_one_component(spark):
     assert {r["component_id"] for r in found} == {0}
 
 
+def test_pipeline_keeps_one_row_of_each_component(spark):
+    a, b, c, d = (words(i, 60) for i in (1, 2, 3, 4))
+    rows = [
+        (1, a, "x"), (1, a, "x"), (1, a, "w"), (1, a + " end", "x"), (2, a, "x"),
+        (None, b, "x"), (None, b, "x"), (None, b + " end", "x"),
+        (None, c, "x"), (4, c, "x"), (4, d, "x"),
+        (5, None, "x"), (5, "", "x"),
+    ]
+    left = corpus_pipeline.near_dedup(spark, spark.createDataFrame(rows, "doc_id long, text string, lang string"), "").collect()
+    by_text = Counter((r["text"] or "").removesuffix(" end") for r in left)
+    assert by_text == {a: 1, b: 1, c: 1, d: 1, "": 2}
+    assert {r["doc_id"] for r in left if r["text"] in (c, d)} == {4} and len(left) == 6
+    assert len({r["doc_id"] for r in left if r["text"] and r["text"].startswith(a)} ^ {1}) == 0
+
+
 def test_quality_rules_on_odd_rows(docs):
     rows = apply_rules(docs).collect()
     assert len(rows) == docs.count()

@@ -193,13 +193,8 @@ def link_classes(work: Workspace, classes: DataFrame) -> DataFrame:
         step += 1
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with n_shingles, component_id (the smallest id reachable over links, its own included) and kept.
-
-    NULL, empty and wordless texts have no shingles and are linked with nothing. Rows of equal id and text are one
-    document, so all of them get the same result. A NULL id comes after all others as component_id; its row is kept only if
-    its component has no other id. Every input row gives one row; added columns replace columns of the same name.
-    """
+def _with_components(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """:func:`near_duplicates` with _component, which names the component also where ids are NULL or repeat; NULL without shingles."""
     spark = docs.sparkSession
     added = ("n_shingles", "component_id", "kept")
     clean = without(docs, added)
@@ -217,17 +212,43 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     classes = firsts.join(text_of, "first").dropDuplicates(["first"])
     labels = link_classes(work, classes.select(F.col("class").alias("node"), "text", "n", "signature"))
     if labels is None:
-        ids = firsts.select("class", F.col("low").alias("component_id"))
+        ids = firsts.select("class", F.col("class").alias("_component"), F.col("low").alias("component_id"))
     else:
         named = firsts.join(labels, F.col("class") == F.col("node"), "left").select("class", "low", F.coalesce("label", "class").alias("label"))
         named = work.save(named, "named")
         least = named.groupBy("label").agg(F.min("low").alias("component_id"))
-        ids = named.select("class", "label").join(least, "label").select("class", "component_id")
+        ids = named.select("class", "label").join(least, "label").select("class", F.col("label").alias("_component"), "component_id")
     found = worded.select("_key", "class", "n").distinct().join(ids, "class")
     out = clean.withColumn("_key", row_key(id_col, text_col)).join(found, "_key", "left")
     component = F.when(F.col("class").isNotNull(), F.col("component_id")).otherwise(F.col(id_col))
     out = out.withColumn("component_id", component).withColumn("n_shingles", F.coalesce("n", F.lit(0)).cast("long"))
-    return out.withColumn("kept", F.col(id_col).eqNullSafe(F.col("component_id"))).select(*clean.columns, *added)
+    return out.withColumn("kept", F.col(id_col).eqNullSafe(F.col("component_id"))).select(*clean.columns, *added, "_component")
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with n_shingles, component_id (the smallest id reachable over links, its own included) and kept.
+
+    NULL, empty and wordless texts have no shingles and are linked with nothing. Rows of equal id and text are one
+    document, so all of them get the same result. A NULL id comes after all others as component_id; its row is kept only if
+    its component has no other id. Every input row gives one row; added columns replace columns of the same name.
+    """
+    return _with_components(docs, id_col, text_col).drop("_component")
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with a single row of each component: that of the smallest id, NULL after all others, and then by content.
+
+    Of repeated rows one stays. Rows without shingles are linked with nothing and all stay.
+    """
+    work = Workspace(docs.sparkSession, "near-dedup")
+    # Written first, so that the numbers of equal rows hold.
+    rows = work.save(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+    found = _with_components(rows, id_col, text_col).select(*docs.columns, "_row", "_component")
+    found = work.save(found, "components")
+    place = F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), row_key(*docs.columns).alias("key"), "_row")
+    first = found.filter("_component is not null").groupBy("_component").agg(F.min(place)["_row"].alias("_row"))
+    stays = found.join(first.select("_row", F.lit(True).alias("_first")), "_row", "left")
+    return stays.filter("_component is null or _first").select(*docs.columns)
 
 
 def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
