@@ -77,6 +77,15 @@ def test_near_duplicates_as_by_all_pairs(docs):
     assert {d: c for d, c in found.items() if d != c} == {5: 4, 6: 4, 10: 9}
 
 
+def test_a_found_pair_with_far_signatures_is_confirmed(spark):
+    text = words(1, 60)
+    one, other = [1, 2, *range(3, 31)], [1, 2, *range(103, 131)]
+    rows = [(bytearray(b"a"), text, 56, one), (bytearray(b"b"), text + " end", 57, other), (bytearray(b"c"), words(2, 60), 56, other)]
+    classes = spark.createDataFrame(rows, "node binary, text string, n long, signature array<short>")
+    labels = near_dedup.link_classes(near_dedup.Workspace(spark, "near-dedup"), classes)
+    assert {bytes(r["node"]): bytes(r["label"]) for r in labels.collect()} == {b"a": b"a", b"b": b"a"}
+
+
 def test_many_near_copies_are_one_component(spark):
     base = words(1, 400).split()
     rows = [(i, " ".join([*base[:i], f"v{i}", *base[i + 1 :]])) for i in range(120)]

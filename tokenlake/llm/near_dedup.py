@@ -4,7 +4,8 @@ A text is the set of its distinct five-word shingles. Rows of equal word sequenc
 one row. The signature of a class has ``CHUNKS`` chunks of three 16-bit MinHash values. By the pigeonhole principle, two
 signatures that differ in fewer than ``2 * CHUNKS`` values agree in two of the three values of some chunk; so each chunk is
 indexed once with each value left out, and a lookup finds every pair under that distance. A pair of similarity 0.75
-lies over it with a chance of about 1e-8 (0.156 ** 10). Every candidate is confirmed on full shingle sets.
+is in no common bucket with a chance of about 1e-8 (0.156 ** 10). Every candidate, also one over that distance, is
+confirmed on full shingle sets unless the sizes of the sets rule a link out.
 
 Buckets of many classes are not expanded into pairs. In each round the members of a bucket are compared with a few pivots,
 which are then done with; confirmed links merge components, and buckets whose members are all in one component are
@@ -36,8 +37,6 @@ TO_BLANK = bytes(0x20 if b in BLANKS else LOWER[b] for b in range(256))
 SHINGLE = 5
 PERCENT = 75
 CHUNKS = 10
-# Signature values that two linked texts may differ in.
-MAX_DISTANCE = 2 * CHUNKS - 1
 # Pairs of one pivot that a single task confirms.
 PAIRS_PER_SALT = 64
 # Pivots that one bucket uses in one round grow by this factor up to the bound; the rest follow in later rounds.
@@ -153,7 +152,7 @@ def link_classes(work: Workspace, classes: DataFrame) -> DataFrame:
     shared = work.save(shared.select("bucket"), "shared")
     buckets = work.save(rows.join(shared, "bucket"), "buckets")
     members = work.save(buckets.select("node").distinct().join(classes, "node"), "members")
-    signed, texts = members.select("node", "n", "signature"), members.select("node", "text")
+    sizes, texts = members.select("node", "n"), members.select("node", "text")
     linked, links, tried, labels, step = _confirmer(work.spark), None, None, None, 0
     while True:
         # Open buckets hold members of more than one component.
@@ -176,11 +175,10 @@ def link_classes(work: Workspace, classes: DataFrame) -> DataFrame:
         pivots = work.save(pivots.select("bucket", F.col("p.node").alias("pivot"), F.col("p.label").alias("own")), f"pivots-{step}")
         met = salted_join(placed, pivots, ["bucket"], rows_per_salt=20_000).filter("label != own")
         pairs = work.save(met.select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct(), f"pairs-{step}")
-        # Far signatures and unequal sizes cannot be linked; the rest is confirmed on texts.
-        near = pairs.join(signed.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("signature").alias("sa")), "a")
-        near = near.join(signed.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("signature").alias("sb")), "b")
-        apart = F.size(F.filter(F.zip_with("sa", "sb", lambda x, y: x != y), lambda d: d))
-        alike = (apart <= MAX_DISTANCE) & (100 * F.least("na", "nb") >= PERCENT * F.greatest("na", "nb"))
+        # Unequal sizes cannot be linked; far signatures can, so all other pairs are confirmed on texts.
+        near = pairs.join(sizes.select(F.col("node").alias("a"), F.col("n").alias("na")), "a")
+        near = near.join(sizes.select(F.col("node").alias("b"), F.col("n").alias("nb")), "b")
+        alike = 100 * F.least("na", "nb") >= PERCENT * F.greatest("na", "nb")
         near = work.save(near.filter(alike).select("a", "b"), f"near-{step}")
         second = near.join(texts.select(F.col("node").alias("b"), F.col("text").alias("tb")), "b")
         whole = salted_join(second, texts.select(F.col("node").alias("a"), F.col("text").alias("ta")), ["a"], rows_per_salt=PAIRS_PER_SALT)
