@@ -143,6 +143,26 @@ def test_benchmark_windows(spark, docs):
     assert len(none) == docs.count() and not any(r["contaminated"] for r in none)
 
 
+def test_benchmark_windows_by_shuffle_carry_only_their_words(spark, docs, monkeypatch):
+    items = spark.createDataFrame([(1, words(9, 12)), (4, "two words")], "item_id long, text string")
+    joined, hits = [], decontaminate._hits
+
+    def watch(*args):
+        frame = hits(*args)
+        joined.append((args[-1], frame._jdf.queryExecution().optimizedPlan().toString()))
+        return frame
+
+    monkeypatch.setattr(decontaminate, "_hits", watch)
+    want = Counter(map(str, decontaminate.decontaminate(docs, items).collect()))
+    for bound in ("BROADCAST_WINDOWS", "BROADCAST_BYTES"):
+        with monkeypatch.context() as patch:
+            patch.setattr(decontaminate, bound, 0)
+            assert Counter(map(str, decontaminate.decontaminate(docs, items).collect())) == want
+    assert [small for small, _ in joined] == [True, False, False]
+    for _, plan in joined[1:]:
+        assert plan.count(" AS _here#") == 2 and "_here#" in next(x for x in plan.splitlines() if "Join Inner" in x)
+
+
 def test_toxicity_learns_and_folds(spark, docs):
     bad = [(f"you are a m0rоn and {words(i, 9)}", 1) for i in range(20)]
     good = [(f"you are a friend and {words(i + 50, 9)}", 0) for i in range(20)]

@@ -23,6 +23,8 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 WINDOW = 10
 # Benchmark windows that are broadcast, at most; beyond it the lookup is a shuffle join.
 BROADCAST_WINDOWS = 2_000_000
+# And so many bytes of them.
+BROADCAST_BYTES = 512 << 20
 
 
 def words_of(text: Column) -> Column:
@@ -65,8 +67,12 @@ def _hits(docs: DataFrame, windows: DataFrame, lengths: list[int], small: bool)
         # The outer form, as the plain one would add a filter that evaluates the hashes again and again.
         placed = hashed.select("_key", "_words", F.posexplode_outer("_h").alias("_at", "hash"))
         known = windows.filter(F.col("length") == length)
-        known = F.broadcast(known) if small else known
-        same = F.slice("_words", F.col("_at") + 1, F.lit(length)) == F.col("words")
+        here = F.slice("_words", F.col("_at") + 1, F.lit(length))
+        if small:
+            known, same = F.broadcast(known), here == F.col("words")
+        else:
+            # Only the window of a place is shuffled, not all words of its text.
+            placed, same = placed.select("_key", "_at", "hash", here.alias("_here")), F.col("_here") == F.col("words")
         part = placed.join(known, "hash").filter(same).select("_key", "_at", "length", "window")
         found = part if found is None else found.unionByName(part)
     return found
@@ -120,7 +126,8 @@ def decontaminate(
             F.lit(False).alias("contaminated"),
         )
     lookup = work.save(_window_hashes(distinct, sorted(sizes)), "lookup")
-    small = sum(sizes.values()) <= BROADCAST_WINDOWS
+    in_memory = F.octet_length(F.array_join("words", "")) + 16 * F.size("words") + 64
+    small = sum(sizes.values()) <= BROADCAST_WINDOWS and lookup.agg(F.sum(in_memory)).first()[0] <= BROADCAST_BYTES
     hits = work.save(_hits(added_words.select("_key", "_words"), lookup, sorted(sizes), small), "hits")
     spans = hits.groupBy("_key").agg(
         F.array_sort(F.collect_set(F.struct(F.col("_at").alias("start"), (F.col("_at") + F.col("length")).alias("end")))).alias(
