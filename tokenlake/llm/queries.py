@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tokenlake.llm import decontaminate, line_dedup, quality_rules
+from tokenlake.llm import decontaminate, line_dedup, quality_rules, url_filter
 from tokenlake.llm.byte_bpe import op3_byte_bpe
 from tokenlake.llm.decontaminate import op10_decontaminate
 from tokenlake.llm.license_scan import op9_license_scan
@@ -13,6 +13,7 @@ from tokenlake.llm.quality_rules import op2_quality_rules
 from tokenlake.llm.secret_scan import op5_secret_scan
 from tokenlake.llm.suffix_dedup import op6_suffix_dedup
 from tokenlake.llm.toxicity import op4_toxicity
+from tokenlake.llm.url_filter import op13_url_filter
 
 QUERIES = {
     f.__name__: f
@@ -27,10 +28,12 @@ QUERIES = {
         op8_lm_score,
         op9_license_scan,
         op10_decontaminate,
+        op13_url_filter,
     )
 }
 ORACLES: dict[str, str] = {
     "op1_line_dedup": line_dedup.ORACLE,
     "op2_quality_rules": quality_rules.ORACLE,
     "op10_decontaminate": decontaminate.ORACLE,
+    "op13_url_filter": url_filter.ORACLE,
 }
