@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tokenlake.llm import decontaminate, line_dedup, merkle_manifest, quality_rules, url_filter
+from tokenlake.llm import decontaminate, line_dedup, merkle_manifest, phrase_mining, quality_rules, url_filter
 from tokenlake.llm.byte_bpe import op3_byte_bpe
 from tokenlake.llm.decontaminate import op10_decontaminate
 from tokenlake.llm.license_scan import op9_license_scan
@@ -10,6 +10,7 @@ from tokenlake.llm.line_dedup import op1_line_dedup
 from tokenlake.llm.lm_score import op8_lm_score
 from tokenlake.llm.merkle_manifest import op12_merkle_manifest
 from tokenlake.llm.near_dedup import op7_near_dedup
+from tokenlake.llm.phrase_mining import op11_phrase_mining
 from tokenlake.llm.quality_rules import op2_quality_rules
 from tokenlake.llm.secret_scan import op5_secret_scan
 from tokenlake.llm.suffix_dedup import op6_suffix_dedup
@@ -29,6 +30,7 @@ QUERIES = {
         op8_lm_score,
         op9_license_scan,
         op10_decontaminate,
+        op11_phrase_mining,
         op12_merkle_manifest,
         op13_url_filter,
     )
@@ -37,6 +39,7 @@ ORACLES: dict[str, str] = {
     "op1_line_dedup": line_dedup.ORACLE,
     "op2_quality_rules": quality_rules.ORACLE,
     "op10_decontaminate": decontaminate.ORACLE,
+    "op11_phrase_mining": phrase_mining.ORACLE,
     "op12_merkle_manifest": merkle_manifest.ORACLE,
     "op13_url_filter": url_filter.ORACLE,
 }
