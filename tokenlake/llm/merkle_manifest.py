@@ -28,9 +28,8 @@ from tokenlake.operators.skew import join_groups, salted_join
 from tokenlake.shipping import ship_package
 from tokenlake.workspace import Workspace
 
-# Levels that one slot array is reduced by.
+# Levels that one slot array is reduced by; it has 2**HEIGHT slots.
 HEIGHT = 10
-SLOTS = 1 << HEIGHT
 # The word that rows without an id share; no 64-bit id has it.
 NO_ID = -(1 << 57) - 1
 # The fields of a leaf, in order, and the divisor that picks rows to tamper with.
@@ -54,10 +53,10 @@ def digest_of(*children: bytes) -> bytes:
     return sha256(b"".join(c.hex().encode() for c in children)).digest()
 
 
-def reduce_slots(slots: list[bytes], whole: bool) -> list[list[bytes]]:
-    """All levels of a slot array, leaves first: up to one node if the array is a ``whole`` tree, else HEIGHT levels."""
+def reduce_slots(slots: list[bytes], n: int, height: int) -> list[list[bytes]]:
+    """All levels of a slot array, leaves first: up to one node if it holds all ``n`` nodes of its tree, else ``height`` levels."""
     levels = [slots]
-    while len(levels[-1]) > 1 if whole else len(levels) <= HEIGHT:
+    while len(levels[-1]) > 1 if n <= 1 << height else len(levels) <= height:
         last = levels[-1]
         levels.append([digest_of(*last[i : i + 2]) for i in range(0, len(last), 2)])
     return levels
@@ -146,14 +145,14 @@ def _as_batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
 
-def _arrays(nodes: DataFrame, counts: DataFrame, payload: list[str]) -> DataFrame:
+def _arrays(nodes: DataFrame, counts: DataFrame, height: int, payload: list[str]) -> DataFrame:
     """Slot arrays of nodes (tree, place, digest, payload), with the number of nodes of their tree."""
     slots = F.array_sort(F.collect_list(F.struct("place", "digest", *payload)))
-    grouped = nodes.withColumn("block", F.shiftright("place", HEIGHT)).groupBy("tree", "block").agg(slots.alias("slots"))
+    grouped = nodes.withColumn("block", F.shiftright("place", height)).groupBy("tree", "block").agg(slots.alias("slots"))
     return join_groups(grouped, counts, ["tree"])
 
 
-def _tops(arrays: DataFrame) -> DataFrame:
+def _tops(arrays: DataFrame, height: int) -> DataFrame:
     """(tree, place, digest, n): the node above each slot array."""
 
     def reduce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -161,7 +160,7 @@ def _tops(arrays: DataFrame) -> DataFrame:
             tops = []
             for slots, n in zip(batch.column("slots"), batch.column("n").to_pylist()):
                 leaves = slots.values.field("digest").to_pylist()
-                tops.append(reduce_slots(leaves, n <= SLOTS)[-1][0])
+                tops.append(reduce_slots(leaves, n, height)[-1][0])
             yield pa.RecordBatch.from_arrays(
                 [batch.column("tree"), batch.column("block"), pa.array(tops, pa.binary()), batch.column("n")],
                 ["tree", "place", "digest", "n"],
@@ -170,38 +169,38 @@ def _tops(arrays: DataFrame) -> DataFrame:
     return arrays.mapInArrow(reduce, "tree string, place long, digest binary, n long")
 
 
-def build_rounds(nodes: DataFrame, counts: DataFrame, work: Workspace, payload: list[str]) -> tuple[list[DataFrame], DataFrame]:
+def build_rounds(nodes: DataFrame, counts: DataFrame, work: Workspace, height: int, payload: list[str]) -> tuple[list[DataFrame], DataFrame]:
     """(slot arrays of each round (tree, block, slots, n), ``n`` the nodes of the tree at that height; top nodes (tree, digest,
     last), ``last`` the round in which a tree ended)."""
     most = counts.agg(F.max("n")).first()[0] or 0
-    rounds, tops, at = [], None, 0
+    rounds, tops, at, slots = [], None, 0, 1 << height
     while True:
-        arrays = work.save(_arrays(nodes, counts, payload), f"arrays-{at}")
+        arrays = work.save(_arrays(nodes, counts, height, payload), f"arrays-{at}")
         rounds.append(arrays)
-        above = work.save(_tops(arrays), f"nodes-{at}")
-        ended = above.filter(F.col("n") <= SLOTS).select("tree", "digest", F.lit(at).alias("last"))
+        above = work.save(_tops(arrays, height), f"nodes-{at}")
+        ended = above.filter(F.col("n") <= slots).select("tree", "digest", F.lit(at).alias("last"))
         tops = ended if tops is None else tops.unionByName(ended)
-        if most <= SLOTS:
+        if most <= slots:
             return rounds, tops
-        nodes = above.filter(F.col("n") > SLOTS).select("tree", "place", "digest")
-        counts = counts.filter(F.col("n") > SLOTS).withColumn("n", F.expr(f"(n + {SLOTS - 1}) div {SLOTS}"))
-        most, payload, at = -(-most // SLOTS), [], at + 1
+        nodes = above.filter(F.col("n") > slots).select("tree", "place", "digest")
+        counts = counts.filter(F.col("n") > slots).withColumn("n", F.expr(f"(n + {slots - 1}) div {slots}"))
+        most, payload, at = -(-most // slots), [], at + 1
 
 
-def _node_proofs(arrays: DataFrame) -> DataFrame:
+def _node_proofs(arrays: DataFrame, height: int) -> DataFrame:
     """(tree, place, proof, top) of the nodes in slot arrays that carry the proof of what is above them."""
 
     def steps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in _each_row(batch):
-                levels = reduce_slots([s["digest"] for s in row["slots"]], row["n"] <= SLOTS)
+                levels = reduce_slots([s["digest"] for s in row["slots"]], row["n"], height)
                 out = [(row["tree"], s["place"], siblings(levels, i) + row["proof"], row["top"]) for i, s in enumerate(row["slots"])]
                 yield _as_batch(out, _PROOFS)
 
     return arrays.mapInArrow(steps, "tree string, place long, proof binary, top binary")
 
 
-def _with_upper(rounds: list[DataFrame], trees: DataFrame) -> DataFrame:
+def _with_upper(rounds: list[DataFrame], trees: DataFrame, height: int) -> DataFrame:
     """The first round's slot arrays, each with ``proof``, the steps from its top to the root, and ``top``, its tree's.
 
     ``trees`` has (tree, last, proof, top): the steps from the top of a tree on.
@@ -213,7 +212,7 @@ def _with_upper(rounds: list[DataFrame], trees: DataFrame) -> DataFrame:
         arrays = join_groups(rounds[at], upper, ["tree", "block"])
         if at == 0:
             return arrays
-        above = _node_proofs(arrays).select("tree", F.col("place").alias("block"), "proof", "top")
+        above = _node_proofs(arrays, height).select("tree", F.col("place").alias("block"), "proof", "top")
     raise AssertionError("a manifest has a round")
 
 
@@ -225,18 +224,19 @@ class Manifest:
     subroots: DataFrame
     arrays: DataFrame
     root: bytes | None
+    height: int
 
     def verify(self) -> DataFrame:
         """(id, leaf, subroot, root, proof_sha256, folded_root, verified): every leaf folded along its proof.
 
         A leaf with ``other`` is folded from that digest instead of its own. Digests are lowercase hex.
         """
-        root = self.root
+        root, height = self.root, self.height
 
         def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for row in _each_row(batch):
-                    levels = reduce_slots([s["digest"] for s in row["slots"]], row["n"] <= SLOTS)
+                    levels = reduce_slots([s["digest"] for s in row["slots"]], row["n"], height)
                     out = []
                     for i, slot in enumerate(row["slots"]):
                         given = slot["digest"] if slot["other"] is None else slot["other"]
@@ -250,7 +250,7 @@ class Manifest:
         )
 
 
-def build_manifest(rows: DataFrame, id_col: str, leaf: Column, group: Column, other: Column | None = None) -> Manifest:
+def build_manifest(rows: DataFrame, id_col: str, leaf: Column, group: Column, other: Column | None = None, height: int = HEIGHT) -> Manifest:
     """The manifest of ``rows``: a leaf (hex) per row, a tree per ``group`` in order of the integer ``id_col``.
 
     NULL ids come first in their tree and NULL groups are a tree of their own, the first. Rows that share an id are
@@ -272,22 +272,22 @@ def build_manifest(rows: DataFrame, id_col: str, leaf: Column, group: Column, ot
         "leaves",
     )
     placed, counts = place_leaves(leaves, work)
-    rounds, tops = build_rounds(placed, counts, work, ["id", "other"])
+    rounds, tops = build_rounds(placed, counts, work, height, ["id", "other"])
     tops = work.save(tops, "tops")
     # The trees, in order of their names, are the leaves of the last tree.
     order = running_total(tops.select("tree", F.lit(1).alias("one")), "tree", "one", "place")
     named = work.save(tops.join(order, "tree").select(F.lit("").alias("tree"), "place", "digest", F.col("tree").alias("name")), "trees")
     if named.isEmpty():
         empty = rounds[0].withColumns({"proof": F.lit(b""), "top": F.lit(b"")})
-        return Manifest(tops.select("tree", "digest"), empty, None)
+        return Manifest(tops.select("tree", "digest"), empty, None, height)
     total = named.groupBy("tree").agg(F.count(F.lit(1)).alias("n"))
-    upper_rounds, root_row = build_rounds(named, total, Workspace(spark, "manifest-trees"), [])
+    upper_rounds, root_row = build_rounds(named, total, Workspace(spark, "manifest-trees"), height, [])
     root_row = root_row.select("tree", "last", "digest").first()
     start = spark.createDataFrame([("", root_row["last"], bytearray(), bytearray(root_row["digest"]))], "tree string, last int, proof binary, top binary")
-    proofs = _node_proofs(_with_upper(upper_rounds, start)).select("place", "proof")
+    proofs = _node_proofs(_with_upper(upper_rounds, start, height), height).select("place", "proof")
     trees = named.join(proofs, "place").select(F.col("name").alias("tree"), "proof", F.col("digest").alias("top"))
     trees = work.save(trees.join(tops.select("tree", "last"), "tree"), "tree-proofs")
-    return Manifest(tops.select("tree", "digest"), _with_upper(rounds, trees), bytes(root_row["digest"]))
+    return Manifest(tops.select("tree", "digest"), _with_upper(rounds, trees, height), bytes(root_row["digest"]), height)
 
 
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:

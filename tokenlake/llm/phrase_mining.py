@@ -157,20 +157,20 @@ class _Stream:
     """Ids of texts one after the other, cut into rows. A row holds some ids of the next, so that phrases that begin in
     its ``own`` part are whole."""
 
-    def __init__(self, overlap: int):
-        self.overlap, self.parts, self.held, self.rest = overlap, [], 0, []
+    def __init__(self, own: int, overlap: int):
+        self.own, self.overlap, self.parts, self.held, self.rest = own, overlap, [], 0, []
 
     def add(self, ids: np.ndarray, rest: list[tuple[int, str, bytes]]) -> Iterator[pa.RecordBatch]:
         self.rest.extend((self.held + at, lang, word) for at, lang, word in rest)
         self.parts.append(ids)
         self.held += len(ids)
-        if self.held >= 2 * ROW_IDS:
-            yield from self.rows(ROW_IDS + self.overlap)
+        if self.held >= 2 * self.own:
+            yield from self.rows(self.own + self.overlap)
 
     def rows(self, least: int) -> Iterator[pa.RecordBatch]:
         ids, at = np.concatenate(self.parts or [np.zeros(0, np.int32)]), 0
         while len(ids) - at >= least and len(ids) > at:
-            own = min(ROW_IDS, len(ids) - at)
+            own = min(self.own, len(ids) - at)
             end = min(len(ids), at + own + self.overlap)
             low, high = bisect_left(self.rest, (at,)), bisect_left(self.rest, (end,))
             rest = [{"at": p - at, "lang": lang, "word": word.decode()} for p, lang, word in self.rest[low:high]]
@@ -186,7 +186,7 @@ def encode(docs: DataFrame, words: Dictionary, work: Workspace, longest: int) ->
     shared, rest_bits = words.shared, words.rest_bits
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        stream, known = _Stream(longest - 1), shared.value
+        stream, known = _Stream(ROW_IDS, longest - 1), shared.value
         size, bits = rest_bits.value if rest_bits is not None else (0, None)
         for batch in batches:
             for lang, text in _texts(batch):
