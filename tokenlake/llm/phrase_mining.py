@@ -42,7 +42,7 @@ _TABLE = bytes.maketrans(BREAKS + b"\t" + bytes(range(65, 91)), BREAK * len(BREA
 # Words that are broadcast: at most so many, none longer than so many bytes.
 SHARED_WORDS, SHARED_BYTES = 500_000, 64
 # Distinct words that a task counts before it hands them on, ids in a row of the rewritten corpus, places in a filter.
-WORDS_AT_ONCE, ROW_IDS, PLACES = 1 << 19, 1 << 18, 1 << 22
+WORDS_AT_ONCE, ROW_IDS, PLACES = 1 << 18, 1 << 18, 1 << 20
 # Places of the corpus for one bucket.
 BUCKET = 1 << 19
 # Bits of the bitmaps of frequent phrases, per phrase and at most.
