@@ -52,47 +52,72 @@ def luhn(text: bytes) -> bool:
     return 13 <= len(digits) <= 19 and len(set(digits)) > 1 and sum(doubled) % 10 == 0
 
 
-def iban(text: bytes) -> bool:
-    code = text.rpartition(b":")[2].replace(b" ", b"").upper()
-    code = code[4:] if code.startswith(b"IBAN") else code
-    number = "".join(str(int(chr(c), 36)) for c in code[4:] + code[:4])
-    return 15 <= len(code) <= 34 and int(number) % 97 == 1
+# Published lengths of account numbers by country.
+IBAN_LENGTHS = {
+    "AD": 24, "AE": 23, "AL": 28, "AT": 20, "AZ": 28, "BA": 20, "BE": 16, "BG": 22, "BH": 22, "BR": 29, "CH": 21, "CR": 22, "CY": 28,
+    "CZ": 24, "DE": 22, "DK": 18, "DO": 28, "EE": 20, "ES": 24, "FI": 18, "FO": 18, "FR": 27, "GB": 22, "GE": 22, "GI": 23, "GL": 18,
+    "GR": 27, "GT": 28, "HR": 21, "HU": 28, "IE": 22, "IL": 23, "IS": 26, "IT": 27, "JO": 30, "KW": 30, "KZ": 20, "LB": 28, "LI": 21,
+    "LT": 20, "LU": 20, "LV": 21, "MC": 27, "MD": 24, "ME": 22, "MK": 19, "MT": 31, "MU": 30, "NL": 18, "NO": 15, "PL": 28, "PT": 25,
+    "QA": 29, "RO": 24, "RS": 22, "SA": 24, "SE": 24, "SI": 19, "SK": 24, "SM": 27, "TN": 24, "TR": 26, "UA": 29, "VG": 24, "XK": 20,
+}
+_IBAN_START = re.compile(rb"(?i:iban)[:=]?\x20*")
+
+
+def iban_end(text: bytes) -> int:
+    """The end of the account number in a match, 0 if none holds its checksum.
+
+    Words after the number may be part of the match, so the number ends where its country says; without a known country the
+    longest end that holds is taken. A number goes on to no letter or digit.
+    """
+    start = _IBAN_START.match(text).end()
+    ends = [at + 1 for at in range(start, len(text)) if text[at] != 0x20]
+    code = text[start:].replace(b" ", b"").decode()
+    known = IBAN_LENGTHS.get(code[:2])
+    for n in [known] if known else range(min(34, len(code)), 14, -1):
+        if n <= len(code) and (n == len(code) or ends[n] > ends[n - 1] + 1):
+            if int("".join(str(int(c, 36)) for c in code[4:n] + code[:4])) % 97 == 1:
+                return ends[n - 1]
+    return 0
 
 
 def jwt(token: bytes) -> bool:
     """The header must decode to an object that names an algorithm."""
     head = token.split(b".")[0]
     try:
-        return "alg" in json.loads(base64.urlsafe_b64decode(head + b"=" * (-len(head) % 4)))
-    except (binascii.Error, ValueError, TypeError):
+        header = json.loads(base64.urlsafe_b64decode(head + b"=" * (-len(head) % 4)))
+    except (binascii.Error, ValueError, RecursionError):
         return False
+    return isinstance(header, dict) and "alg" in header
 
 
-def _always(_: bytes) -> bool:
-    return True
+def _whole(check: Callable[[bytes], bool]) -> Callable[[bytes], int]:
+    """The end of a match that holds its check, else 0."""
+    return lambda text: len(text) if check(text) else 0
 
 
-# Kind, keywords that start a match (lower case), the expression that must match there, its check.
+# Kind, keywords that start a match (lower case), the expression that must match there, the end that its check leaves.
 RULES: tuple[tuple[str, tuple[str, ...], bytes, Callable], ...] = (
     (
         "assign",
         ("password", "passwd", "secret", "token", "apikey", "api_key"),
         rb"(?i:password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)",
-        _always,
+        len,
     ),
-    ("access", ("akia",), rb"AKIA[A-Z0-9]+", _always),
-    ("github", ("ghp_", "gho_", "ghu_", "ghs_", "ghr_"), rb"gh[pousr]_[A-Za-z0-9]{36}(?![A-Za-z0-9])", crc_token),
-    ("npm", ("npm_",), rb"npm_[A-Za-z0-9]{36}(?![A-Za-z0-9])", crc_token),
-    ("jwt", ("eyj",), rb"eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", jwt),
-    ("card", ("card",), rb"(?i:card)(?:\x20?(?i:number|no\.?))?[:=#]?\x20*[0-9](?:[ -]?[0-9]){12,18}(?![0-9])", luhn),
-    ("iban", ("iban",), rb"(?i:iban)[:=]?\x20*[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}", iban),
+    ("access", ("akia",), rb"AKIA[A-Z0-9]+", len),
+    ("github", ("ghp_", "gho_", "ghu_", "ghs_", "ghr_"), rb"gh[pousr]_[A-Za-z0-9]{36}(?![A-Za-z0-9])", _whole(crc_token)),
+    ("npm", ("npm_",), rb"npm_[A-Za-z0-9]{36}(?![A-Za-z0-9])", _whole(crc_token)),
+    ("jwt", ("eyj",), rb"eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", _whole(jwt)),
+    ("card", ("card",), rb"(?i:card)(?:\x20?(?i:number|no\.?))?[:=#]?\x20*[0-9](?:[ -]?[0-9]){12,18}(?![0-9])", _whole(luhn)),
+    ("iban", ("iban",), rb"(?i:iban)[:=]?\x20*[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}", iban_end),
     (
         "private_key",
         ("-----begin",),
         rb"-----BEGIN (?:[A-Z]+ )?PRIVATE KEY-----[A-Za-z0-9+/=\s]+-----END (?:[A-Z]+ )?PRIVATE KEY-----",
-        _always,
+        len,
     ),
 )
+# Kinds whose match begins with a run of these bytes. Where it fails, it fails at every start in the run.
+_RUNS = {"jwt": re.compile(rb"[A-Za-z0-9_-]+")}
 
 
 @cache
@@ -132,12 +157,17 @@ def scan(data: bytes | None) -> list[tuple[str, int, int]]:
         kind, pattern, check = rules[rule]
         match = pattern.match(data, start)
         if match is None:
+            if kind in _RUNS:
+                done[rule] = _RUNS[kind].match(data, start).end() if data[start : start + 3] == b"eyJ" else start
             continue
-        done[rule] = match.end()
         if kind == "assign" and len(match[1]) < MIN_VALUE or kind == "access" and len(match[0]) < MIN_ACCESS:
+            done[rule] = match.end()
             continue
-        if check(match[0]):
-            spans.append((kind, match.start(), match.end()))
+        end = start + check(match[0])
+        # A match may hold words behind the number, the keyword of the next one among them.
+        done[rule] = end if kind == "iban" else match.end()
+        if end > start:
+            spans.append((kind, start, end))
     if not spans:
         return spans
     if not data.isascii():
@@ -150,7 +180,9 @@ def find_secrets(docs: DataFrame, text_col: str = "text", out: str = "secrets")
     """``docs`` with an array of (kind, start, end) per text.
 
     Positions are code points, ends exclusive. NULL and empty texts have an empty array.
-    Every input row gives one row, repeated rows too; a column named ``out`` is replaced.
+    Every input row gives one row, repeated rows too, an empty table none; a column named ``out`` is replaced, others keep
+    their values. Texts of any length are scanned whole, in time that grows with their length. A candidate that fails its
+    check for any reason is no secret.
     """
     udf = per_text(docs.sparkSession, T.ArrayType(SPAN), lambda: scan, as_bytes=True)
     return without(docs, [out] if out != text_col else []).withColumn(out, udf(F.col(text_col)))
