@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tokenlake.operators import dataset, ngram
 from tokenlake.operators.skew import join_groups, salted_join, table_bytes
+from tokenlake.sources import token_store
 
 SEQUENCES = {1: [5, 6, 5, 6, 7], 2: [5], 3: [], 4: [6, 7, 7, 7, 5, 6], 5: list(range(40)) * 30}
 
@@ -46,7 +47,7 @@ def test_sampled_windows(encoded, length, monkeypatch):
     for r in rows:
         assert 0 <= r["start"] < len(flat) - length - 1
         assert r["tokens"] == flat[r["start"] : r["start"] + length]
-    monkeypatch.setattr(dataset, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(token_store, "NAMED_BLOCKS", 0)
     shuffled = dataset.sample_windows(encoded, 40, length, 3)
     assert "CartesianProduct" not in shuffled._jdf.queryExecution().executedPlan().toString()
     assert sorted(map(tuple, shuffled.collect())) == sorted(map(tuple, rows))

@@ -7,81 +7,41 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tokenlake.functions import hashing
-from tokenlake.operators.prefix import running_total
+from tokenlake.sources.token_store import TokenStore, write_store
+from tokenlake.workspace import Workspace
 
-# A table of sampled windows up to this many rows is sent to every task.
-BROADCAST_ROWS = 1_000_000
 
-
-def next_token_pairs(encoded: DataFrame, keep: Sequence[str] = ("doc_id",)) -> DataFrame:
-    """(keep, pos, context, target): each token with the one after it.
+def next_token_pairs(encoded: DataFrame, keep: Sequence[str] = ("doc_id",), ids_col: str = "ids") -> DataFrame:
+    """(keep, pos, context, target): each token of ``ids_col`` with the one after it, of a document or a window.
 
     The last token has no target. Read from the array of the row, so nothing is
     shuffled or sorted.
     """
-    n = F.size("ids")
+    n = F.size(ids_col)
     pairs = F.arrays_zip(
-        F.slice("ids", F.lit(1), n - 1).alias("context"), F.slice("ids", F.lit(2), n - 1).alias("target")
+        F.slice(ids_col, F.lit(1), n - 1).alias("context"), F.slice(ids_col, F.lit(2), n - 1).alias("target")
     )
     return encoded.filter(n > 1).select(*keep, F.posexplode(pairs).alias("pos", "p")).select(
         *keep, "pos", "p.context", "p.target"
     )
 
 
-def stream_offsets(encoded: DataFrame, key: str = "doc_id") -> DataFrame:
-    """(key, n_tokens, offset): where each document starts in the token stream."""
-    offsets = running_total(encoded.select(key, "n_tokens"), key, "n_tokens", "offset")
-    return encoded.select(key, "n_tokens").join(offsets, key)
-
-
 def token_stream(encoded: DataFrame, key: str = "doc_id") -> DataFrame:
-    """(pos, key, token): all documents in key order as one numbered stream."""
-    offsets = running_total(encoded.select(key, "n_tokens"), key, "n_tokens", "offset")
-    placed = encoded.select(key, "ids").join(offsets, key)
-    return placed.select(key, "offset", F.posexplode("ids").alias("i", "token")).select(
-        (F.col("offset") + F.col("i")).alias("pos"), key, "token"
-    )
+    """(pos, key, token): all documents in key order as one numbered stream.
+
+    The tokens are shuffled once, into a store whose rows know their places; the stream is a projection of it.
+    """
+    return _stored(encoded, key).stream()
 
 
 def sample_windows(encoded: DataFrame, n: int, length: int, seed: int = 0, key: str = "doc_id") -> DataFrame:
     """(sample_id, start, tokens): ``n`` windows of ``length`` tokens.
 
-    Starts are uniform with replacement in [0, total - length - 1). Windows and
-    documents meet in an equi join on fixed-size blocks of stream positions, over
-    (key, offset) rows only; the tokens of just the documents that were hit are
-    read afterwards. ``encoded`` is read several times and should be a table.
+    Starts are uniform with replacement in [0, total - length - 1). To sample one corpus several times, write its store
+    once and call its ``sample_windows``, which reads only the blocks that are hit.
     """
-    spans = stream_offsets(encoded, key).filter("n_tokens > 0")
-    total = encoded.agg(F.coalesce(F.sum("n_tokens"), F.lit(0))).first()[0]
-    n_starts = total - length - 1
-    if n_starts <= 0:
-        raise ValueError(f"a stream of {total} tokens has no window of {length}")
-    block = max(length, 1024)
-    start = hashing.md5_number(hashing.keyed(seed, F.col("id")), 15) % n_starts
-    wanted = encoded.sparkSession.range(n).select(F.col("id").alias("sample_id"), start.alias("start"))
-    wanted = wanted.withColumn("_first", F.expr(f"start div {block}")).withColumn(
-        "_block", F.expr(f"explode(sequence(_first, (start + {length} - 1) div {block}))")
-    )
-    spans = spans.withColumn("_doc_first", F.expr(f"offset div {block}")).withColumn(
-        "_block", F.expr(f"explode(sequence(_doc_first, (offset + n_tokens - 1) div {block}))")
-    )
-    small = n * (length + 1) <= BROADCAST_ROWS
-    meet = spans.join(F.broadcast(wanted) if small else wanted, "_block")
-    # Each overlapping pair is kept in the first block that both reach.
-    hits = meet.filter(
-        (F.col("offset") < F.col("start") + length)
-        & (F.col("offset") + F.col("n_tokens") > F.col("start"))
-        & (F.col("_block") == F.greatest("_first", "_doc_first"))
-    ).select("sample_id", "start", key, "offset")
-    # One row per window and document touched, at most ``length`` per window.
-    pieces = encoded.select(key, "ids").join(F.broadcast(hits) if small else hits, key)
-    begin = F.greatest(F.col("start") - F.col("offset"), F.lit(0))
-    end = F.least(F.col("start") + length - F.col("offset"), F.size("ids").cast("bigint"))
-    cut = F.slice("ids", (begin + 1).cast("int"), (end - begin).cast("int"))
-    ordered = F.array_sort(F.collect_list(F.struct("offset", cut.alias("part"))))
-    return (
-        pieces.groupBy("sample_id", "start")
-        .agg(ordered.alias("parts"))
-        .select("sample_id", "start", F.flatten(F.col("parts.part")).alias("tokens"))
-    )
+    return _stored(encoded, key).sample_windows(n, length, seed)
+
+
+def _stored(encoded: DataFrame, key: str) -> TokenStore:
+    return write_store(encoded, Workspace(encoded.sparkSession, "tokens").path, key, width_bits=32)

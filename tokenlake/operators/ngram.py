@@ -21,18 +21,18 @@ from tokenlake.workspace import Workspace
 ROUNDS_PER_TABLE = 8
 
 
-def context_pairs(encoded: DataFrame, order: int = 1, keep: Sequence[str] = ("doc_id",)) -> DataFrame:
+def context_pairs(encoded: DataFrame, order: int = 1, keep: Sequence[str] = ("doc_id",), ids_col: str = "ids") -> DataFrame:
     """(keep, context, target) with a context of ``order`` (1 or 2) tokens."""
     if order == 1:
-        pairs = next_token_pairs(encoded, keep)
+        pairs = next_token_pairs(encoded, keep, ids_col)
         return pairs.select(*keep, F.col("context").cast("bigint").alias("context"), "target")
     if order != 2:
         raise ValueError("order must be 1 or 2")
-    n = F.size("ids")
+    n = F.size(ids_col)
     triples = F.arrays_zip(
-        F.slice("ids", F.lit(1), n - 2).alias("x"),
-        F.slice("ids", F.lit(2), n - 2).alias("y"),
-        F.slice("ids", F.lit(3), n - 2).alias("target"),
+        F.slice(ids_col, F.lit(1), n - 2).alias("x"),
+        F.slice(ids_col, F.lit(2), n - 2).alias("y"),
+        F.slice(ids_col, F.lit(3), n - 2).alias("target"),
     )
     rows = encoded.filter(n > 2).select(*keep, F.explode(triples).alias("t"))
     packed = F.col("t.x").cast("bigint") * PAIR_BASE + F.col("t.y")

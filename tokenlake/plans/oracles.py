@@ -47,6 +47,11 @@ def ids(coded: str) -> str:
     return f"case when {coded} = '' then '' else list_aggregate({points}, 'string_agg', ',') end"
 
 
+def points(coded: str) -> str:
+    """As :func:`ids`, for tables of many short strings: no aggregate per row."""
+    return f"case when {coded} = '' then '' else array_to_string(list_transform(string_split({coded}, ''), lambda c: ascii(c)), ',') end"
+
+
 def marked(text: str) -> str:
     return f"replace(replace({text}, chr(10), '{SEP}'), '. ', '.{EOT}')"
 
@@ -118,6 +123,14 @@ tok as materialized (
 STREAM = """
 stream as materialized (select row_number() over (order by doc_id, pos) - 1 as pos, doc_id, token from tok)"""
 
+WINDOWS = f"""
+starts as materialized (
+  select i as sample_id, {md5_number(f"'{SEED}:' || i", 15)} % ((select count(*) from stream) - {WINDOW} - 1) as start
+  from (select unnest(range(0, 64)) as i)),
+windows as materialized (
+  select sample_id, start, pos, token
+  from (select sample_id, start, start + unnest(range(0, {WINDOW})) as pos from starts) join stream using (pos))"""
+
 BUCKETS = f"""
 buckets as materialized (select doc_id, ({md5_number('doc_id::varchar')} % 100)::int as bucket from documents)"""
 
@@ -373,7 +386,7 @@ ORACLES: dict[str, str] = {
     "apply_merge": build(
         WORDS,
         PAIRS,
-        f"""select {ids('w')} as before, {ids('m')} as after, freq
+        f"""select {points('w')} as before, {points('m')} as after, freq
   from (select w, replace(w, chr(a) || chr(b), chr({FIRST})) as m, f as freq from words, top)""",
     ),
     "pair_count_delta": build(
@@ -412,15 +425,30 @@ ORACLES: dict[str, str] = {
   from enc join documents using (doc_id, lang) group by lang""",
     ),
     "token_stream": build(*TOKENIZED, STREAM, "select pos, doc_id, token from stream"),
+    "token_store_documents": build(*ENCODED, ENCODED_ROWS),
     "sample_windows": build(
         *TOKENIZED,
         STREAM,
-        f"""starts as materialized (
-  select i as sample_id, {md5_number(f"'{SEED}:' || i", 15)} % ((select count(*) from stream) - {WINDOW} - 1) as start
-  from (select unnest(range(0, 64)) as i))""",
-        f"""select sample_id, start, string_agg(token::varchar, ',' order by pos) as tokens
-  from (select sample_id, start, start + unnest(range(0, {WINDOW})) as pos from starts) join stream using (pos)
-  group by sample_id, start""",
+        WINDOWS,
+        """select sample_id, start, string_agg(token::varchar, ',' order by pos) as tokens from windows group by sample_id, start""",
+    ),
+    "window_pairs": build(
+        *TOKENIZED,
+        STREAM,
+        WINDOWS,
+        """select * from (select sample_id, (pos - start)::int as pos, token as context,
+         lead(token) over (partition by sample_id order by pos) as target from windows) where target is not null""",
+    ),
+    "window_loss": build(
+        *MODELLED,
+        STREAM,
+        WINDOWS,
+        f"""select sample_id, count(*) as n_pairs,
+  round(exp(avg(-ln((coalesce(cnt, 0) + 1.0) / (coalesce(total, 0) + 1.0 * {VOCAB})))), 6) as ppl
+  from (select * from (select sample_id, token as context, lead(token) over (partition by sample_id order by pos) as target
+                       from windows) where target is not null) p
+  left join ng on ng.context = p.context and ng.target = p.target left join totals on totals.context = p.context
+  group by sample_id""",
     ),
     "fit_ngram": build(*MODELLED, "select context, target, cnt from ng"),
     "fit_ngram_order2": build(

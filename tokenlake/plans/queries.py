@@ -12,6 +12,7 @@ from tokenlake.functions.text import END_OF_TEXT
 from tokenlake.operators import bpe, codec, dataset, ngram, pretoken, stats, trainer, vectors
 from tokenlake.operators.tokenizer import N_BYTES, Tokenizer, vocab_stats
 from tokenlake.sources import corpus, tokenizer_io
+from tokenlake.sources.token_store import TokenStore, open_store, write_store
 from tokenlake.sources.job_checkpoint import JobCheckpoint
 from tokenlake.streaming import corpus as streaming
 from tokenlake.workspace import Workspace, hadoop_path
@@ -72,6 +73,18 @@ def encoded(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table
 
 
+def token_store(spark: SparkSession, sf_dir: str) -> TokenStore:
+    """The encoded documents as a packed stream, written once per application."""
+    key = (spark.sparkContext.applicationId, sf_dir, "store")
+    path = _TABLES.get(key)
+    if path is not None:
+        fs, folder = hadoop_path(spark, f"{path}/manifest/_SUCCESS")
+        if fs.exists(folder):
+            return open_store(spark, path)
+    _TABLES[key] = Workspace(spark, "store").path
+    return write_store(encoded(spark, sf_dir), _TABLES[key])
+
+
 def words(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pretoken.word_table(pretoken.pretoken_freq(documents(spark, sf_dir), specials=SPECIALS))
 
@@ -260,12 +273,32 @@ def throughput_report(spark, sf_dir):
 
 
 def token_stream(spark, sf_dir):
-    return dataset.token_stream(encoded(spark, sf_dir))
+    return token_store(spark, sf_dir).stream()
+
+
+def token_store_documents(spark, sf_dir):
+    """Documents unpacked from the store, as they were encoded."""
+    return token_store(spark, sf_dir).documents().select("doc_id", _comma(F.col("ids")).alias("ids"), "n_tokens")
+
+
+def _windows(spark, sf_dir) -> DataFrame:
+    return token_store(spark, sf_dir).sample_windows(64, WINDOW, SEED)
 
 
 def sample_windows(spark, sf_dir):
-    sampled = dataset.sample_windows(encoded(spark, sf_dir), 64, WINDOW, SEED)
-    return sampled.select("sample_id", "start", _comma(F.col("tokens")).alias("tokens"))
+    return _windows(spark, sf_dir).select("sample_id", "start", _comma(F.col("tokens")).alias("tokens"))
+
+
+def window_pairs(spark, sf_dir):
+    """Contexts and targets of the sampled windows: a window of L gives L - 1."""
+    return dataset.next_token_pairs(_windows(spark, sf_dir), ("sample_id",), "tokens")
+
+
+def window_loss(spark, sf_dir):
+    """The loss of the sampled windows, per window, under the counts of the training split."""
+    pairs = ngram.context_pairs(_windows(spark, sf_dir), 1, ("sample_id",), "tokens")
+    report = ngram.perplexity(pairs, _model(spark, sf_dir), VOCAB_SIZE, ("sample_id",), ALPHA)
+    return report.withColumn("ppl", F.round("ppl", 6))
 
 
 # Next-token model
@@ -492,7 +525,8 @@ QUERIES: dict[str, Query] = {
         job_checkpoint, strip_specials, split_specials, pretokenize, pretokenize_pages, utf8_byte_ids,
         next_token_pairs, pretoken_freq, pair_counts, best_pair, apply_merge, pair_count_delta, train_bpe,
         build_vocab, encode, encode_conversations, decode, roundtrip_check, roundtrip_check_pages, sample_docs,
-        compression_ratio, throughput_report, token_stream, sample_windows, fit_ngram, fit_ngram_order2,
+        compression_ratio, throughput_report, token_stream, token_store_documents, sample_windows, window_pairs, window_loss,
+        fit_ngram, fit_ngram_order2,
         log_softmax, cross_entropy, perplexity, perplexity_by_document, next_token_topk, sample_next,
         generate_batch, generate_text, rms_normalize, project_vectors, embedding_lookup, similarity_topk,
         causal_weighted_mean, causal_topk_mean, gradient_sum, adamw_step, train_loglinear, training_log,
