@@ -494,6 +494,9 @@ ORACLES: dict[str, str] = {
     "rms_normalize": """select vec_id, i::int as i, round(x / sqrt(ms + 1e-6), 6) as x
 from (select vec_id, unnest(range(0, len(e))) as i, unnest(e) as x, list_dot_product(e, e) / len(e) as ms
       from (select vec_id, embedding::double[] as e from embeddings))""",
+    "project_vectors_wide": """select a.vec_id, b.vec_id::int as i,
+  round(list_sum(list_transform(range(1, len(a.embedding) + 1), lambda k: a.embedding[k]::double * b.embedding[k]::double)), 6) as x
+  from embeddings a cross join embeddings b""",
     "project_vectors": """select vec_id, j::int as i, round(sum(x * ((((i * 7 + j * 13) % 11) - 5) / 10.0::double)), 6) as x
 from (select vec_id, unnest(range(0, len(e))) as i, unnest(e) as x
       from (select vec_id, embedding::double[] as e from embeddings)), (select unnest(range(0, 16)) as j)

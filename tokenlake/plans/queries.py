@@ -405,6 +405,13 @@ def project_vectors(spark, sf_dir):
     return _components(projected, "vec_id", "projected")
 
 
+def project_vectors_wide(spark, sf_dir):
+    """Every vector times a matrix that has all vectors as columns, multiplied by blocks that stay in Spark."""
+    table = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    columns = vectors.exploded(table, "vec_id", "embedding").select("i", F.col("vec_id").cast("int").alias("j"), F.col("x").alias("w"))
+    return _components(vectors.project_vectors(table, columns, broadcast_bytes=0), "vec_id", "projected")
+
+
 def embedding_lookup(spark, sf_dir):
     table = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     n = table.count()
@@ -528,7 +535,7 @@ QUERIES: dict[str, Query] = {
         compression_ratio, throughput_report, token_stream, token_store_documents, sample_windows, window_pairs, window_loss,
         fit_ngram, fit_ngram_order2,
         log_softmax, cross_entropy, perplexity, perplexity_by_document, next_token_topk, sample_next,
-        generate_batch, generate_text, rms_normalize, project_vectors, embedding_lookup, similarity_topk,
+        generate_batch, generate_text, rms_normalize, project_vectors, project_vectors_wide, embedding_lookup, similarity_topk,
         causal_weighted_mean, causal_topk_mean, gradient_sum, adamw_step, train_loglinear, training_log,
         hyperparam_sweep, target_gate, stream_encode, stream_pretoken_freq, stream_corpus_stats,
     )
