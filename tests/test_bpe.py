@@ -7,7 +7,7 @@ import pytest
 from tokenlake.functions import chars
 from tokenlake.operators import bpe, pretoken
 from tokenlake.operators.tokenizer import vocab_stats
-from tokenlake.sources.job_checkpoint import JobCheckpoint
+from tokenlake.sources.job_checkpoint import JobCheckpoint, OtherJobError
 
 EOT = "<|endoftext|>"
 
@@ -69,8 +69,11 @@ def test_resumes_from_a_saved_state(spark, texts, learned, tmp_path):
     assert states.steps()
     (tmp_path / "bpe" / "step=000000999").mkdir()  # an interrupted state without its description
     assert states.latest().step < 999
-    broken = words.limit(0)  # not read: the saved words are used
-    assert triples(bpe.train_bpe_words(broken, 25, 257, checkpoint=states)) == learned[:25]
+    assert triples(bpe.train_bpe_words(words.repartition(3), 25, 257, checkpoint=states)) == learned[:25]
+    # Another corpus or another first id is another job.
+    for other, first in ((words.limit(5), 257), (words, 258), (words.limit(0), 257)):
+        with pytest.raises(OtherJobError):
+            bpe.train_bpe_words(other, 25, first, checkpoint=states)
 
 
 def test_pair_counts_and_deltas_equal_recounts(spark):

@@ -25,6 +25,43 @@ def docs(spark, data):
     return spark.read.parquet(f"{data}/documents.parquet").select("doc_id", "text").union(extra).cache()
 
 
+def test_a_special_last_file_encodes_the_same_from_tables_and_json(spark, tok, docs, tmp_path):
+    # Bytes, merges, then specials in another order than they are stripped in.
+    specials = ["<|b|>", EOT]
+    tokens = [t for t, kind in zip(tok.token_bytes, tok.kinds()) if kind != "special"] + [s.encode() for s in specials]
+    moved = {old: new for new, old in enumerate(i for i, kind in enumerate(tok.kinds()) if kind != "special")}
+    document = {
+        "vocab": {str(i): list(t) for i, t in enumerate(tokens)},
+        "merges": [[moved[m.a], moved[m.b]] for m in tok.merges],
+        "special_tokens": specials[::-1],
+    }
+    (tmp_path / "given.json").write_text(json.dumps(document))
+    given = tokenizer_io.load_json(spark, str(tmp_path / "given.json"))
+    assert given.token_bytes == tokens and given.specials == tuple(specials[::-1])
+    tokenizer_io.save_tables(spark, given, str(tmp_path / "t"))
+    from_tables = tokenizer_io.load_tables(spark, str(tmp_path / "t"))
+    tokenizer_io.save_json(spark, from_tables, str(tmp_path / "j"))
+    from_json = tokenizer_io.load_json(spark, str(tmp_path / "j"))
+    want = encoded_ids(codec.encode(docs, given))
+    assert max(map(max, filter(None, want.values()))) == len(tokens) - 1
+    for again in (from_tables, from_json):
+        assert again.token_bytes == tokens and again.specials == given.specials
+        assert [(m.a, m.b) for m in again.merges] == [(m.a, m.b) for m in given.merges]
+        assert encoded_ids(codec.encode(docs, again)) == want
+    kinds = {r["kind"]: r["n"] for r in from_tables.vocab_table(spark).groupBy("kind").agg(F.count("*").alias("n")).collect()}
+    assert kinds == {"byte": 256, "special": 2, "merge": 150}
+    made = from_tables.merges_table(spark).collect()
+    assert [r["new_id"] for r in made] == list(range(256, 406))
+
+
+def test_a_vocabulary_with_gaps_or_without_its_specials_is_refused(spark, tmp_path):
+    whole = {str(i): [i] for i in range(256)}
+    for vocab, specials in (({**whole, "257": [1, 2]}, []), (whole, [EOT]), ({**whole, "7": [8]}, [])):
+        (tmp_path / "bad.json").write_text(json.dumps({"vocab": vocab, "merges": [], "special_tokens": specials}))
+        with pytest.raises(ValueError):
+            tokenizer_io.load_json(spark, str(tmp_path / "bad.json"))
+
+
 def encoded_ids(df):
     return {r["doc_id"]: list(r["ids"]) for r in df.collect()}
 

@@ -65,6 +65,26 @@ def test_log_softmax_sums_to_one(spark):
     assert len(sums) == 4 and all(abs(r["s"] - 1) < 1e-9 for r in sums)
 
 
+def test_log_softmax_is_one_shuffle_and_no_job(spark):
+    rows = [(c, t, float(t)) for c in range(4) for t in range(50)]
+    logits = spark.createDataFrame(rows, "context long, target int, logit double").withColumn("row", F.lit("kept"))
+    before = spark.sparkContext._jsc.sc().dagScheduler().nextJobId()
+    out = ngram.log_softmax(logits)
+    top = ngram.next_token_topk(logits, 5, 0.5)
+    plans = [f._jdf.queryExecution().executedPlan().toString() for f in (out, top)]
+    assert spark.sparkContext._jsc.sc().dagScheduler().nextJobId() == before
+    assert [p.count("Exchange hashpartitioning") for p in plans] == [1, 1] and "Join" not in "".join(plans)
+    assert out.columns == ["context", "target", "logit", "row", "logp"] and out.select("row").distinct().count() == 1
+    assert top.count() == 20 and all(abs(r["p"] - 1) < 1e-9 for r in top.groupBy("context").agg(F.sum("prob").alias("p")).collect())
+
+
+def test_a_draw_without_a_context_comes_from_the_vocabulary(spark):
+    topk = spark.createDataFrame([(1, 2, 0.0)], "context long, token int, logit double")
+    states = spark.createDataFrame([(i, None) for i in range(50)] + [(50, 1)], "item_id long, context long")
+    drawn = {r["item_id"]: r["token"] for r in ngram.sample_next(states, topk, 10, 3).collect()}
+    assert drawn[50] == 2 and set(drawn.values()) <= set(range(10)) and len(set(drawn.values())) > 4
+
+
 def test_cross_entropy_and_perplexity(encoded):
     counts, alpha, v = plain_counts(), 0.5, 64
     totals = defaultdict(int)

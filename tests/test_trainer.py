@@ -4,7 +4,7 @@ import pytest
 
 from tokenlake.operators import trainer
 from tokenlake.operators.trainer import BIAS_KEY, Run
-from tokenlake.sources.job_checkpoint import JobCheckpoint
+from tokenlake.sources.job_checkpoint import JobCheckpoint, OtherJobError
 
 EXAMPLES = {1: (1.0, {3: 0.5, 4: 0.5}), 2: (0.0, {4: 1.0}), 3: (1.0, {5: 0.25, 3: 0.75}), 4: (0.0, {})}
 RUNS = (Run(0, lr=0.1, batch_size=3), Run(1, lr=0.01, batch_size=5, weight_decay=0.5))
@@ -100,6 +100,10 @@ def test_resumed_training_ends_the_same(spark, features, tmp_path):
     want = {(r["run_id"], r["param_key"]): r["value"] for r in whole.params.collect()}
     assert {(r["run_id"], r["param_key"]): r["value"] for r in resumed.params.collect()} == pytest.approx(want)
     assert resumed.log.count() == whole.log.count() == 8
+    with pytest.raises(OtherJobError):
+        trainer.train_loglinear(features, RUNS, 4, seed=2, checkpoint=states)
+    with pytest.raises(OtherJobError):
+        trainer.train_loglinear(features.filter("doc_id > 0"), RUNS[:1], 4, seed=1, checkpoint=states)
 
 
 def test_moments_decay_without_a_gradient(spark):

@@ -28,7 +28,7 @@ from tokenlake.functions import chars
 from tokenlake.operators.pretoken import pretoken_freq, word_table
 from tokenlake.operators.tokenizer import N_BYTES, Merge, Tokenizer
 from tokenlake.sources.corpus import byte_budget
-from tokenlake.sources.job_checkpoint import JobCheckpoint
+from tokenlake.sources.job_checkpoint import JobCheckpoint, fingerprint
 from tokenlake.workspace import Workspace
 
 WORDS_PER_TASK = 10_000
@@ -291,13 +291,13 @@ def train_bpe_words(
     """Merges learned from (word, freq). Stops early when no pair is left.
 
     With a ``checkpoint`` the state is written every ``save_every`` merges and a
-    later call with the same checkpoint goes on from the newest complete one.
+    later call with the same checkpoint goes on from the newest complete one; it fails for other words or another first id.
     """
     merges: list[Merge] = []
     if n_merges <= 0:
         return merges
     workspace = Workspace(words.sparkSession, "bpe")
-    resumed = checkpoint.latest() if checkpoint is not None else None
+    resumed = checkpoint.claim(fingerprint(words, job="bpe", first_id=first_id)) if checkpoint is not None else None
     if resumed is not None:
         merges = [Merge(a, b, cnt) for a, b, cnt in resumed.meta["merges"]]
         table = f"{resumed.path}/words"

@@ -47,14 +47,16 @@ def fit_ngram(pairs: DataFrame) -> DataFrame:
 def log_softmax(logits: DataFrame, group: str = "context", logit: str = "logit", out: str = "logp") -> DataFrame:
     """Adds ``out``: logit minus the log of the summed exponentials of its group.
 
-    The largest logit is subtracted first. Both reductions are plain aggregates,
-    so a large group is reduced where its rows lie.
+    The largest logit is subtracted first. Both reductions are windows over one partitioning, so rows are shuffled once,
+    and not at all if they lie by group already. A group has at most a row per vocabulary entry.
     """
-    tops = logits.groupBy(group).agg(F.max(logit).alias("_max"))
-    shifted = join_groups(logits, tops, [group])
-    sums = shifted.groupBy(group, "_max").agg(F.sum(F.exp(F.col(logit) - F.col("_max"))).alias("_sum"))
-    norms = sums.select(group, (F.log("_sum") + F.col("_max")).alias("_norm"))
-    return join_groups(logits, norms, [group]).withColumn(out, F.col(logit) - F.col("_norm")).drop("_norm")
+    whole = Window.partitionBy(group)
+    shift = F.max(logit).over(whole)
+    total = F.sum(F.exp(F.col(logit) - F.col("shift"))).over(whole)
+    row = logits.select(F.struct(*logits.columns).alias("row"), F.col(group).alias(group), F.col(logit).alias(logit))
+    normed = row.withColumn("shift", shift).withColumn("norm", F.log(total) + F.col("shift"))
+    kept = [F.col("row")[c].alias(c) for c in logits.columns if c != out]
+    return normed.select(*kept, (F.col(logit) - F.col("norm")).alias(out))
 
 
 def pair_nll(

@@ -65,16 +65,21 @@ class Tokenizer:
 
     def merges_table(self, spark: SparkSession) -> DataFrame:
         first = self.first_merge_id
-        rows = [(i, m.a, m.b, first + i, m.cnt) for i, m in enumerate(self.merges)]
+        # A loaded vocabulary has its own places for what the merges make.
+        made = [first + i if self.loaded_vocab is None else rule[2] for i, rule in enumerate(self.encode_rules())]
+        rows = [(i, m.a, m.b, new, m.cnt) for i, (m, new) in enumerate(zip(self.merges, made))]
         return spark.createDataFrame(rows, MERGES_SCHEMA)
 
-    def vocab_table(self, spark: SparkSession) -> DataFrame:
-        first = self.first_merge_id
+    def kinds(self) -> list[str]:
+        """What each id is; in a loaded vocabulary its bytes tell."""
+        if self.loaded_vocab is None:
+            first = self.first_merge_id
+            return ["byte" if i < N_BYTES else "special" if i < first else "merge" for i in range(self.vocab_size)]
+        specials = {s.encode("utf-8") for s in self.specials}
+        return ["special" if t in specials else "byte" if len(t) == 1 else "merge" for t in self.token_bytes]
 
-        def kind(i: int) -> str:
-            return "byte" if i < N_BYTES else "special" if i < first else "merge"
-
-        rows = [(i, bytearray(t), kind(i)) for i, t in enumerate(self.token_bytes)]
+    def vocab_table(self, spark: SparkSession) -> DataFrame:
+        rows = [(i, bytearray(t), kind) for i, (t, kind) in enumerate(zip(self.token_bytes, self.kinds()))]
         return spark.createDataFrame(rows, VOCAB_SCHEMA)
 
 

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from tokenlake.functions import hashing
 from tokenlake.operators.prefix import running_total
 from tokenlake.operators.skew import join_groups, table_bytes
-from tokenlake.sources.job_checkpoint import JobCheckpoint
+from tokenlake.sources.job_checkpoint import JobCheckpoint, fingerprint
 from tokenlake.workspace import Workspace
 
 BIAS_KEY = -1
@@ -181,7 +181,8 @@ def train_loglinear(
     spark = features.sparkSession
     workspace = Workspace(spark, "train")
     batches = workspace.save(draw_batches(features, runs, num_steps, seed, key), "batches", partition_by="step")
-    resumed = checkpoint.latest() if checkpoint is not None else None
+    settings = {"job": "loglinear", "seed": seed, "runs": [list(vars(r).values()) for r in runs], "log_every": log_every}
+    resumed = checkpoint.claim(fingerprint(features, **settings)) if checkpoint is not None else None
     if resumed is not None:
         first, params = resumed.step + 1, resumed.table("params")
         logged = [resumed.table("log")] if resumed.meta["logged"] else []

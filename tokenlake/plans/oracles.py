@@ -530,6 +530,11 @@ group by vec_id, j""",
     "train_loglinear": build(*LABELLED, SINGLE, f"select k as param_key, round(value, 9) as value from p{STEPS}"),
     "training_log": build(*LABELLED, SINGLE, "select run_id, step, loss, ppl from log"),
     "hyperparam_sweep": build(*LABELLED, SWEEP, "select run_id, step, loss, ppl from log"),
+    "hyperparam_report": build(
+        *LABELLED,
+        SWEEP,
+        f"select step, {', '.join(f'max(case when run_id = {i} then loss end) as run_{i}' for i in range(6))} from log group by step",
+    ),
     "target_gate": build(
         *LABELLED,
         SWEEP,

@@ -363,7 +363,7 @@ def _sampling_table(spark, sf_dir) -> DataFrame:
 
 
 def sample_next(spark, sf_dir):
-    states = _prompts(spark, sf_dir).select("item_id", F.element_at("ids", -1).cast("bigint").alias("context"))
+    states = _prompts(spark, sf_dir).select("item_id", F.try_element_at("ids", F.lit(-1)).cast("bigint").alias("context"))
     return ngram.sample_next(states, _sampling_table(spark, sf_dir), VOCAB_SIZE, SEED).select("item_id", "token")
 
 
@@ -492,6 +492,11 @@ def hyperparam_sweep(spark, sf_dir):
     return _log_columns(_sweep_log(spark, sf_dir))
 
 
+def hyperparam_report(spark, sf_dir):
+    """One loss column per run of the sweep."""
+    return trainer.sweep_report(_log_columns(_sweep_log(spark, sf_dir)), SWEEP)
+
+
 def target_gate(spark, sf_dir):
     gate = trainer.target_gate(_log_columns(_sweep_log(spark, sf_dir)), 0.69)
     return gate.select("run_id", "best_loss", "best_step", "final_loss", "passed")
@@ -537,7 +542,7 @@ QUERIES: dict[str, Query] = {
         log_softmax, cross_entropy, perplexity, perplexity_by_document, next_token_topk, sample_next,
         generate_batch, generate_text, rms_normalize, project_vectors, project_vectors_wide, embedding_lookup, similarity_topk,
         causal_weighted_mean, causal_topk_mean, gradient_sum, adamw_step, train_loglinear, training_log,
-        hyperparam_sweep, target_gate, stream_encode, stream_pretoken_freq, stream_corpus_stats,
+        hyperparam_sweep, hyperparam_report, target_gate, stream_encode, stream_pretoken_freq, stream_corpus_stats,
     )
 }
 QUERIES["vocab_stats"] = vocab_statistics

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tokenlake.workspace import hadoop_path
 
@@ -22,6 +23,16 @@ class SavedState:
         return self.spark.read.parquet(f"{self.path}/{name}")
 
 
+def fingerprint(df: DataFrame, **settings: Any) -> dict[str, Any]:
+    """What a job works on: the number of rows, a hash of them that no order changes, and its settings."""
+    row = df.agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64(*sorted(df.columns))).alias("h"), F.sum(F.xxhash64(*sorted(df.columns)).cast("decimal(38,0)")).alias("s")).first()
+    return {"rows": row["n"], "hash": row["h"], "sum": str(row["s"]), "columns": sorted(df.columns), **settings}
+
+
+class OtherJobError(ValueError):
+    """A saved state is of another corpus or of other settings."""
+
+
 class JobCheckpoint:
     """Writes and finds the states of one job under ``path``.
 
@@ -32,6 +43,15 @@ class JobCheckpoint:
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
         self.path = path.rstrip("/")
+        self.of: dict[str, Any] | None = None
+
+    def claim(self, of: dict[str, Any]) -> SavedState | None:
+        """The newest state, if there is one, of the job with this :func:`fingerprint`; states saved from now on carry it."""
+        self.of = json.loads(json.dumps(of))
+        state = self.latest()
+        if state is not None and state.meta.get("of") != self.of:
+            raise OtherJobError(f"{state.path} was saved for {state.meta.get('of')}, not {self.of}")
+        return state
 
     def _folder(self, step: int) -> str:
         return f"{self.path}/step={step:09d}"
@@ -40,7 +60,7 @@ class JobCheckpoint:
         folder = self._folder(step)
         for name, df in tables.items():
             df.write.mode("overwrite").parquet(f"{folder}/{name}")
-        row = self.spark.createDataFrame([(json.dumps(meta),)], "value string")
+        row = self.spark.createDataFrame([(json.dumps(meta if self.of is None else meta | {"of": self.of}),)], "value string")
         row.coalesce(1).write.mode("overwrite").text(f"{folder}/meta")
 
     def steps(self) -> list[int]:
