@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tokenlake.operators import dataset, ngram
 from tokenlake.operators.skew import join_groups, salted_join, table_bytes
 from tokenlake.sources import token_store
+from tokenlake.workspace import Workspace
 
 SEQUENCES = {1: [5, 6, 5, 6, 7], 2: [5], 3: [], 4: [6, 7, 7, 7, 5, 6], 5: list(range(40)) * 30}
 
@@ -149,6 +150,26 @@ def test_generation_follows_the_only_path_and_stops(spark):
     assert ngram.generate_batch(empty, top, 30, 2).first()["n_new"] == 2
 
 
+def test_finished_prompts_leave_the_loop(spark, monkeypatch):
+    monkeypatch.setattr(ngram, "ROUNDS_PER_TABLE", 2)
+    # 1 goes to 2, 2 to 3, and so on; 9 is the stop.
+    topk = spark.createDataFrame([(i, i + 1, 0.0) for i in range(20)], "context long, token int, logit double")
+    prompts = spark.createDataFrame([(s, [s]) for s in (8, 5, 0, 9, 12)] + [(99, [8])], "item_id long, ids array<int>")
+    sizes, save = {}, Workspace.save
+
+    def watch(self, df, name, *rest):
+        table = save(self, df, name, *rest)
+        sizes[name] = table.count()
+        return table
+
+    monkeypatch.setattr(Workspace, "save", watch)
+    out = {r["item_id"]: (r["ids"], r["n_new"]) for r in ngram.generate_batch(prompts, topk, 30, 7, stop_token=9).collect()}
+    assert out == {8: ([8, 9], 1), 99: ([8, 9], 1), 5: ([5, 6, 7, 8, 9], 4), 0: (list(range(8)), 7), 9: (list(range(9, 17)), 7), 12: (list(range(12, 20)), 7)}
+    assert [sizes[f"live-{n}"] for n in (2, 4, 6)] == [4, 3, 3]
+    ended = ngram.generate_batch(prompts.filter("item_id in (8, 5)"), topk, 30, 20, stop_token=9)
+    assert ended.count() == 2 and "live-6" in sizes and sizes["live-4"] == 0
+
+
 def test_joins_of_groups_agree_when_a_key_is_hot(spark):
     rows = spark.range(3000).select(F.when(F.col("id") < 2000, 0).otherwise(F.col("id") % 40).alias("k"), "id")
     rows = rows.withColumn("k", F.when(F.col("id") == 2999, F.lit(None)).otherwise(F.col("k")))

@@ -19,8 +19,9 @@ one job over the words:
 from __future__ import annotations
 
 import heapq
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,13 +29,14 @@ from tokenlake.functions import chars
 from tokenlake.operators.pretoken import pretoken_freq, word_table
 from tokenlake.operators.tokenizer import N_BYTES, Merge, Tokenizer
 from tokenlake.sources.corpus import byte_budget
+from tokenlake.shipping import ship_package
 from tokenlake.sources.job_checkpoint import JobCheckpoint, fingerprint
 from tokenlake.workspace import Workspace
 
 WORDS_PER_TASK = 10_000
 LOOP_PARTITIONS = 8
-# Each select may refer to its own earlier columns; long chains resolve slowly.
-STAGES_PER_SELECT = 8
+# Distinct changes that a task holds before it hands them on.
+CHANGES_AT_ONCE = 1_000_000
 
 # (left id, right id, new id)
 Rule = tuple[int, int, int]
@@ -94,48 +96,54 @@ def merge_words(words: DataFrame, a: int, b: int, new_id: int) -> DataFrame:
     return words.selectExpr(_replaced("word", [(a, b, new_id)]) + " as word", "freq")
 
 
-# chars.symbol_id of the symbol at a place of the pair, as SQL.
-_SQL_ID = (
-    "(ascii(substring(pair, {0}, 1))"
-    f" - if(ascii(substring(pair, {{0}}, 1)) >= {chars.SURROGATE_START}, {chars.SURROGATE_SPAN}, 0))"
-)
+_DELTAS = pa.schema([("stage", pa.int32()), ("a", pa.int32()), ("b", pa.int32()), ("change", pa.int64())])
 
 
-def staged_deltas(words: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+def staged_deltas(words: DataFrame, rules: Sequence[Rule], wanted: frozenset[int] | None = None) -> DataFrame:
     """(stage, a, b, delta): what each rule, applied after those before it,
     changes in the pair counts.
 
-    Only words that hold one of the pairs are opened. A pair with an id that an
-    earlier rule makes can only arise in a word that holds that rule's pair.
+    Only words that hold one of the pairs leave the JVM. A pair with an id that an earlier rule makes can only arise in a
+    word that holds that rule's pair. The rules go along as data, so every round has the same plan; tasks add up their
+    changes before the shuffle. With ``wanted``, changes of pairs without a new id are given for these codes only.
     """
+    ship_package(words.sparkSession)
+    steps = [(_pair_text(r), chars.symbol(r[2])) for r in rules]
+    first_new = min(r[2] for r in rules)
+
+    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: list[dict[str, int]] = [{} for _ in steps]
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            rows = []
+            for stage, changes in enumerate(sums):
+                for pair, change in changes.items():
+                    a, b = chars.id_of(pair[0]), chars.id_of(pair[1])
+                    if change and (wanted is None or a >= first_new or b >= first_new or chars.pair_code(a, b) in wanted):
+                        rows.append((stage, a, b, change))
+                changes.clear()
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _DELTAS)] if rows else [pa.array([], f.type) for f in _DELTAS], schema=_DELTAS)
+
+        for batch in batches:
+            for word, freq in zip(batch.column("word").to_pylist(), batch.column("freq").to_pylist()):
+                for changes, (old, new) in zip(sums, steps):
+                    if old in word:
+                        after = word.replace(old, new)
+                        for i in range(len(word) - 1):
+                            pair = word[i : i + 2]
+                            changes[pair] = changes.get(pair, 0) - freq
+                        for i in range(len(after) - 1):
+                            pair = after[i : i + 2]
+                            changes[pair] = changes.get(pair, 0) + freq
+                        word = after
+            if sum(map(len, sums)) > CHANGES_AT_ONCE:
+                yield from flush()
+        yield from flush()
+
     # SQL text instead of Column objects: the loop builds this once per round.
-    touched = " or ".join(f"contains(word, {_sql(_pair_text(r))})" for r in rules)
-    names = ["word"] + [f"v{i}" for i in range(len(rules))]
-    versions = [
-        f"replace({before}, {_sql(_pair_text(r))}, {_sql(chars.symbol(r[2]))}) as {after}"
-        for r, before, after in zip(rules, names, names[1:])
-    ]
-    # Position i of the list is a pair of the word before (removed) or after (added).
-    place = "if(i < size(p), concat(p[i - 1], p[i]), concat(q[i - size(p)], q[i - size(p) + 1]))"
-    staged = words.filter(touched).select("freq", "word")
-    for at in range(0, len(versions), STAGES_PER_SELECT):
-        staged = staged.selectExpr("*", *versions[at : at + STAGES_PER_SELECT])
-    return (
-        staged.selectExpr(
-            "freq",
-            f"posexplode(array({', '.join(names[1:])})) as (stage, after)",
-            f"array({', '.join(names[:-1])}) as earlier",
-        )
-        .selectExpr("freq", "stage", "earlier[stage] as before", "after")
-        .filter("before <> after")
-        .selectExpr("freq", "stage", "split(before, '') as p", "split(after, '') as q")
-        .selectExpr("freq", "stage", "p", "q", "explode(sequence(1, size(p) + size(q) - 2)) as i")
-        .selectExpr("stage", f"{place} as pair", "if(i < size(p), -freq, freq) as change")
-        .groupBy("stage", "pair")
-        .agg(F.sum("change").alias("delta"))
-        .filter("delta <> 0")
-        .selectExpr("stage", f"{_SQL_ID.format(1)} as a", f"{_SQL_ID.format(2)} as b", "delta")
-    )
+    touched = " or ".join(f"contains(word, {_sql(old)})" for old, _ in steps)
+    changes = words.filter(touched).select("word", "freq").mapInArrow(count, "stage int, a int, b int, change long")
+    return changes.groupBy("stage", "a", "b").agg(F.sum("change").alias("delta")).filter("delta <> 0")
 
 
 def pair_count_delta(words: DataFrame, counts: DataFrame, a: int, b: int, new_id: int) -> DataFrame:
@@ -259,15 +267,11 @@ def _leader_changes(words: DataFrame, rules: Sequence[Rule], leaders: _Leaders)
     """Per stage, the changes that concern leaders or pairs that may become one."""
     first_new = rules[0][2]
     merged_ids = {i for rule in rules for i in rule[:2]}
-    near = [c for c in leaders.counts if not merged_ids.isdisjoint(chars.split_pair_code(c))]
+    near = frozenset(c for c in leaders.counts if not merged_ids.isdisjoint(chars.split_pair_code(c)))
     rows = (
-        staged_deltas(words, rules)
-        .selectExpr("stage", "a", "b", f"a * {chars.PAIR_BASE}L + b as code", "delta")
-        .filter(
-            f"((a >= {first_new} or b >= {first_new}) and (delta < 0 or delta >= {leaders.floor[0]}))"
-            f" or code in ({','.join(f'{c}L' for c in near)})"
-        )
-        .selectExpr("stage", "code", "delta")
+        staged_deltas(words, rules, near)
+        .filter(f"(a < {first_new} and b < {first_new}) or delta < 0 or delta >= {leaders.floor[0]}")
+        .selectExpr("stage", f"a * {chars.PAIR_BASE}L + b as code", "delta")
         .collect()
     )
     by_stage: list[list[tuple[int, int]]] = [[] for _ in rules]

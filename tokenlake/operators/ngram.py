@@ -155,7 +155,9 @@ def generate_batch(
     """(key, ids, n_new): all prompts (key, ids) go on by one token per round.
 
     ``topk`` sets temperature and k. Each round is a join of the states with the
-    candidates of their contexts; the states are written every few rounds.
+    candidates of their contexts; the states are written every few rounds. With a
+    ``stop_token`` the prompts that have reached it then leave the loop, and it
+    ends when none is left.
     """
     workspace = Workspace(prompts.sparkSession, "generate")
     lists = workspace.save(candidate_lists(topk), "candidates")
@@ -168,6 +170,7 @@ def generate_batch(
         )
 
     states = prompts.select(key, "ids", F.lit(0).alias("n_new"), F.lit(False).alias("_done"))
+    finished: list[DataFrame] = []
     for step in range(max_tokens):
         here = F.when(F.size("ids") > 0, context("ids"))
         joined = join_groups(states.withColumn("context", here), lists, ["context"], "left", lists_bytes)
@@ -180,6 +183,14 @@ def generate_batch(
         )
         if stop_token is not None:
             states = states.withColumn("_done", F.element_at("ids", -1) == stop_token)
-        if (step + 1) % ROUNDS_PER_TABLE == 0:
+        if (step + 1) % ROUNDS_PER_TABLE == 0 and step + 1 < max_tokens:
             states = workspace.save(states, f"states-{step + 1}")
+            if stop_token is not None:
+                finished.append(states.filter("_done"))
+                # Written by themselves, so that later rounds read live prompts alone.
+                states = workspace.save(states.filter("NOT _done"), f"live-{step + 1}")
+                if states.isEmpty():
+                    break
+    for part in finished:
+        states = states.unionByName(part)
     return states.drop("_done")

@@ -484,6 +484,13 @@ ORACLES: dict[str, str] = {
     floor({uniform(str(SEED), 'item_id', '0')} * {VOCAB}))::int as token
   from prompts left join topk on context = ascii(right(s, 1)) group by item_id""",
     ),
+    "generate_until_stop": build(
+        *MODELLED,
+        topk(40),
+        PROMPTS,
+        GENERATED.replace("gen(", "gen24(").replace("from gen ", "from gen24 ").replace("step < 8", "step < 24 and (step = 0 or right(s, 1) <> '.')"),
+        f"""select item_id, {ids('arg_max(s, step)')} as ids, max(step)::int as n_new from gen24 group by item_id""",
+    ),
     "generate_batch": build(
         *MODELLED,
         topk(40),
@@ -510,6 +517,12 @@ group by vec_id, j""",
   select *, row_number() over (partition by vec_id order by score desc, other_id) as rank from (
     select q.vec_id, o.vec_id as other_id, round(list_dot_product(q.embedding::double[], o.embedding::double[]), 6) as score
     from embeddings q, embeddings o where q.vec_id <> o.vec_id)) where rank <= 5""",
+    "similarity_topk_exact": """select vec_id, rank::int as rank, other_id, round(score, 9) as score from (
+  select *, row_number() over (partition by vec_id order by score desc, other_id) as rank from (
+    select q.vec_id, o.vec_id as other_id,
+           list_reduce(list_prepend(0.0::double, list_transform(range(1, len(q.embedding) + 1),
+             lambda i: q.embedding[i]::double * o.embedding[i]::double)), lambda a, b: a + b) as score
+    from embeddings q, embeddings o where q.vec_id <> o.vec_id)) where rank <= 5""",
     "causal_weighted_mean": build(ATTENTION, attention("scored"), MIXED_ROWS),
     "causal_topk_mean": build(
         ATTENTION,

@@ -27,6 +27,7 @@ WINDOW = 32
 SEED = 7
 ALPHA = 1.0
 STEPS = 3
+STOP_TOKEN = ord(".")
 DOCUMENTS_SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 
 SINGLE_RUN = (trainer.Run(0, lr=0.05, batch_size=16),)
@@ -375,6 +376,14 @@ def generate_batch(spark, sf_dir):
     return _generated(spark, sf_dir).select("item_id", _comma(F.col("ids")).alias("ids"), "n_new")
 
 
+def generate_until_stop(spark, sf_dir):
+    """Prompts that go on until a full stop, or for 24 tokens."""
+    out = ngram.generate_batch(
+        _prompts(spark, sf_dir), _sampling_table(spark, sf_dir), VOCAB_SIZE, 24, SEED, stop_token=STOP_TOKEN, key="item_id"
+    )
+    return out.select("item_id", _comma(F.col("ids")).alias("ids"), "n_new")
+
+
 def generate_text(spark, sf_dir):
     return codec.decode(_generated(spark, sf_dir), tokenizer(spark, sf_dir), keep=("item_id", "n_new"))
 
@@ -427,6 +436,13 @@ def similarity_topk(spark, sf_dir):
     return vectors.similarity_topk(table, table, 5)
 
 
+def similarity_topk_exact(spark, sf_dir):
+    """Ranked by scores that are not rounded; they are shown with nine decimals."""
+    table = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    best = vectors.similarity_topk(table, table, 5, exact=True)
+    return best.withColumn("score", F.round("score", 9))
+
+
 def causal_weighted_mean(spark, sf_dir):
     mixed = vectors.causal_weighted_mean(_table(spark, sf_dir, "embeddings"), WINDOW)
     return _components(mixed, "vec_id", "mixed")
@@ -540,7 +556,7 @@ QUERIES: dict[str, Query] = {
         compression_ratio, throughput_report, token_stream, token_store_documents, sample_windows, window_pairs, window_loss,
         fit_ngram, fit_ngram_order2,
         log_softmax, cross_entropy, perplexity, perplexity_by_document, next_token_topk, sample_next,
-        generate_batch, generate_text, rms_normalize, project_vectors, project_vectors_wide, embedding_lookup, similarity_topk,
+        generate_batch, generate_until_stop, generate_text, rms_normalize, project_vectors, project_vectors_wide, embedding_lookup, similarity_topk, similarity_topk_exact,
         causal_weighted_mean, causal_topk_mean, gradient_sum, adamw_step, train_loglinear, training_log,
         hyperparam_sweep, hyperparam_report, target_gate, stream_encode, stream_pretoken_freq, stream_corpus_stats,
     )
