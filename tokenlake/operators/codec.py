@@ -49,7 +49,7 @@ def _special_symbols(tokenizer: Tokenizer) -> Column:
     return F.create_map(*entries)
 
 
-def _marked_words(column: Column, tokenizer: Tokenizer) -> Column:
+def marked_words(column: Column, tokenizer: Tokenizer) -> Column:
     """Char-coded pre-tokens and specials of a text, joined by the boundary mark."""
 
     def words_of(piece: Column) -> Column:
@@ -75,7 +75,7 @@ def folded(column: Column, tokenizer: Tokenizer) -> Column:
     serves the whole document. Rank order is enough: a pair with a learned id
     always ranks after every merge that yields this id.
     """
-    marked = _marked_words(column, tokenizer)
+    marked = marked_words(column, tokenizer)
     rules = tokenizer.encode_rules()
     if rules:
         olds = _sql_strings([chars.symbol(a) + chars.symbol(b) for a, b, _ in rules])
@@ -126,7 +126,7 @@ def _words_encoder(rules: Sequence[tuple[int, int, int]]):
     return by_rule if ordered and len(rules) <= RULES_PER_PASS else by_word
 
 
-def _arrow_encoder(df: DataFrame, tokenizer: Tokenizer):
+def arrow_encoder(df: DataFrame, tokenizer: Tokenizer):
     """Arrow UDF from marked words to ids.
 
     A batch encodes its distinct new words once; each worker remembers words.
@@ -183,8 +183,8 @@ def encode(
         )
     if method != "arrow":
         raise ValueError(f"unknown method {method!r}")
-    marked = _marked_words(F.col(text_col), tokenizer)
-    coded = df.select(*keep, _arrow_encoder(df, tokenizer)(marked).alias("ids"))
+    marked = marked_words(F.col(text_col), tokenizer)
+    coded = df.select(*keep, arrow_encoder(df, tokenizer)(marked).alias("ids"))
     return coded.withColumn("n_tokens", F.size("ids"))
 
 

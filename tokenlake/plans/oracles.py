@@ -405,6 +405,7 @@ ORACLES: dict[str, str] = {
   (select token from vocab order by n_bytes desc, token_id limit 1) as longest_token from vocab""",
     ),
     "encode": build(*ENCODED, ENCODED_ROWS),
+    "encode_by_dictionary": build(*ENCODED, ENCODED_ROWS),
     "encode_conversations": build(
         *TRAINED, ENC_TURNS, f"select conv_id, turn, {ids('s')} as ids, length(s)::int as n_tokens from tenc"
     ),

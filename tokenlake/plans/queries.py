@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tokenlake.functions import chars
 from tokenlake.functions.text import END_OF_TEXT
-from tokenlake.operators import bpe, codec, dataset, ngram, pretoken, stats, trainer, vectors
+from tokenlake.operators import bpe, codec, dataset, dictionary, ngram, pretoken, stats, trainer, vectors
 from tokenlake.operators.tokenizer import N_BYTES, Tokenizer, vocab_stats
 from tokenlake.sources import corpus, tokenizer_io
 from tokenlake.sources.token_store import TokenStore, open_store, write_store
@@ -237,6 +237,14 @@ def encode(spark, sf_dir):
     return coded.select("doc_id", _comma(F.col("ids")).alias("ids"), "n_tokens")
 
 
+def encode_by_dictionary(spark, sf_dir):
+    """Conversations fill a dictionary, documents add their words to it and are encoded by it."""
+    held = dictionary.WordDictionary(spark, f"{Workspace(spark, 'words').path}/dictionary", tokenizer(spark, sf_dir))
+    dictionary.encode_by_dictionary(_table(spark, sf_dir, "conversations"), held, keep=("conv_id", "turn"))
+    coded = dictionary.encode_by_dictionary(documents(spark, sf_dir), held)
+    return coded.select("doc_id", _comma(F.col("ids")).alias("ids"), "n_tokens")
+
+
 def encode_conversations(spark, sf_dir):
     """Turns with specials inside the text."""
     coded = codec.encode(_marked(spark, sf_dir), tokenizer(spark, sf_dir), keep=("conv_id", "turn"))
@@ -552,7 +560,7 @@ QUERIES: dict[str, Query] = {
         scan_corpus, byte_budget, split_documents, train_valid_split, pack_token_ids, tokenizer_save_load,
         job_checkpoint, strip_specials, split_specials, pretokenize, pretokenize_pages, utf8_byte_ids,
         next_token_pairs, pretoken_freq, pair_counts, best_pair, apply_merge, pair_count_delta, train_bpe,
-        build_vocab, encode, encode_conversations, decode, roundtrip_check, roundtrip_check_pages, sample_docs,
+        build_vocab, encode, encode_by_dictionary, encode_conversations, decode, roundtrip_check, roundtrip_check_pages, sample_docs,
         compression_ratio, throughput_report, token_stream, token_store_documents, sample_windows, window_pairs, window_loss,
         fit_ngram, fit_ngram_order2,
         log_softmax, cross_entropy, perplexity, perplexity_by_document, next_token_topk, sample_next,
