@@ -9,11 +9,12 @@ loop, so a step reads its batch and not the corpus.
 
 from __future__ import annotations
 
+import math
 import time
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tokenlake.functions import hashing
@@ -25,6 +26,11 @@ from tokenlake.workspace import Workspace
 BIAS_KEY = -1
 # Batches up to this many examples are looked up by broadcast.
 BROADCAST_SLOTS = 1_000_000
+# Steps after which the parameters are written, and parameters of all runs for one task.
+STEPS_PER_TABLE = 20
+KEYS_PER_TASK = 20_000
+LOG = "run_id int, step int, loss double, ppl double, rate double"
+_LOG_COLUMNS = ("run_id", "step", "loss", "ppl", "rate")
 
 
 @dataclass(frozen=True)
@@ -177,43 +183,70 @@ def train_loglinear(
 
     ``features`` (key, y, param_key, x) is read several times and should be a
     table. The loss of a logged step is that of its batch after the update.
+
+    The batches of all steps are one table in order of steps. Parameters stay on the executors from step to step; the job
+    that takes the loss of a step makes them. They are written every ``STEPS_PER_TABLE`` steps, so a lost executor costs
+    the steps since then, and files don't grow with steps times tasks. A step sends one row per run to the driver.
     """
     spark = features.sparkSession
     workspace = Workspace(spark, "train")
-    batches = workspace.save(draw_batches(features, runs, num_steps, seed, key), "batches", partition_by="step")
+    drawn = draw_batches(features, runs, num_steps, seed, key)
+    ordered = drawn.repartitionByRange("step", F.xxhash64(key)).sortWithinPartitions("step")
+    workspace.save(ordered, "batches")
     settings = {"job": "loglinear", "seed": seed, "runs": [list(vars(r).values()) for r in runs], "log_every": log_every}
     resumed = checkpoint.claim(fingerprint(features, **settings)) if checkpoint is not None else None
+    logged: list[tuple] = []
     if resumed is not None:
-        first, params = resumed.step + 1, resumed.table("params")
-        logged = [resumed.table("log")] if resumed.meta["logged"] else []
+        first, start = resumed.step + 1, f"{resumed.path}/params"
+        if resumed.meta["logged"]:
+            logged = [tuple(row) for row in resumed.table("log").select(*_LOG_COLUMNS).collect()]
     else:
-        keys = features.select("param_key").distinct()
-        first, params = 1, workspace.save(init_params(keys, runs), "params-0")
-        logged = []
+        first, start = 1, f"{workspace.path}/params-0"
+        workspace.save(init_params(features.select("param_key").distinct(), runs), "params-0")
+    loop = _loop_session(spark, features, runs)
+    batches = loop.read.schema(drawn.schema).parquet(f"{workspace.path}/batches")
+    params = loop.read.parquet(start)
     ids = ("run_id", key)
     param_bytes = table_bytes(params)  # the keys stay the same
-    sizes = F.create_map(*[F.lit(x) for r in runs for x in (r.run_id, r.batch_size)])
+    sizes = {r.run_id: r.batch_size for r in runs}
     started = time.perf_counter()
+    held: list[DataFrame] = []
+    workspace.spark = loop
     for step in range(first, num_steps + 1):
         batch = batches.filter(F.col("step") == step).drop("step")
-        params = workspace.save(adamw_step(params, gradient_sum(batch, params, ids, param_bytes), step, runs), f"params-{step}")
+        params = adamw_step(params, gradient_sum(batch, params, ids, param_bytes), step, runs)
+        if (step - first + 1) % STEPS_PER_TABLE == 0 or step == num_steps:
+            params = workspace.save(params, f"params-{step}")
+        else:
+            params = params.persist()
+            held.append(params)
         if step % log_every == 0:
-            loss = mean_loss(batch, params, ids, param_bytes).select("run_id", F.lit(step).alias("step"), "loss")
+            losses = mean_loss(batch, params, ids, param_bytes).collect()
             per_second = (step - first + 1) / (time.perf_counter() - started)
-            loss = loss.withColumn("ppl", F.exp("loss")).withColumn("rate", sizes[F.col("run_id")] * F.lit(per_second))
-            logged.append(workspace.save(loss, f"log-{step}"))
+            logged += [(r["run_id"], step, r["loss"], math.exp(r["loss"]), sizes[r["run_id"]] * per_second) for r in losses]
+        elif held and held[-1] is params:
+            params.count()  # else later steps would make them again and again
         if checkpoint is not None and save_every and step % save_every == 0:
-            tables = {"params": params} | ({"log": _union(logged)} if logged else {})
-            checkpoint.save(step, tables, {"logged": bool(logged)})
-    empty = spark.createDataFrame([], "run_id int, step int, loss double, ppl double, rate double")
-    return Trained(params, _union(logged) if logged else empty)
-
-
-def _union(tables: Sequence[DataFrame]) -> DataFrame:
-    out = tables[0]
-    for table in tables[1:]:
-        out = out.unionByName(table)
-    return out
+            log = loop.createDataFrame(logged, LOG)
+            checkpoint.save(step, {"params": params, "log": log}, {"logged": bool(logged)})
+        # The parameters before the last ones are made no more; written ones need none of the earlier.
+        while len(held) > (0 if (step - first + 1) % STEPS_PER_TABLE == 0 else 2):
+            held.pop(0).unpersist()
+    for frame in held:
+        frame.unpersist()
+    last = spark.read.parquet(f"{workspace.path}/params-{num_steps}") if num_steps >= first else spark.read.parquet(start)
+    log = Workspace(spark, "train").save(spark.createDataFrame(logged, LOG), "log")
+    return Trained(last, log)
+
+
+def _loop_session(spark: SparkSession, features: DataFrame, runs: Sequence[Run]) -> SparkSession:
+    """A session for many small jobs: a step moves the parameters and one batch, so partitions follow their number."""
+    loop = spark.newSession()
+    keys = features.agg(F.approx_count_distinct("param_key")).first()[0] * len(runs)
+    tasks = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-keys // KEYS_PER_TASK)))
+    loop.conf.set("spark.sql.adaptive.enabled", "false")
+    loop.conf.set("spark.sql.shuffle.partitions", str(tasks))
+    return loop
 
 
 def sweep_report(log: DataFrame, runs: Sequence[Run]) -> DataFrame:
