@@ -1,3 +1,6 @@
+import os
+import time
+
 import pytest
 
 from tokenlake.operators import bpe, codec, pretoken
@@ -49,3 +52,49 @@ def test_streams_equal_batches_and_take_up_new_files(spark, pieces, tmp_path):
     assert same(corpus.latest_freq(spark, freq), pretoken.pretoken_freq(grown))
     corpus.stream_encode(stream(spark, folder), tok, out, state)
     assert same(spark.read.parquet(out), codec.encode(grown, tok))
+
+
+def test_counts_are_read_from_a_snapshot_and_recent_batches(spark, pieces, tmp_path):
+    _, docs = pieces
+    folder, out, state = (str(tmp_path / n) for n in ("in", "freq", "state"))
+    docs.limit(60).repartition(7, "doc_id").write.parquet(folder)
+    corpus.stream_pretoken_freq(stream(spark, folder), out, state, compact_every=2)
+    want = pretoken.pretoken_freq(spark.read.schema(SCHEMA).parquet(folder))
+    assert same(corpus.latest_freq(spark, out), want)
+    held = sorted(n for n in os.listdir(out) if "=" in n)
+    assert held == ["batch=4", "batch=5", "batch=6", "snapshot=3", "snapshot=5"]
+    # Batches and snapshots that run again, or are broken off, change nothing.
+    spark.createDataFrame([("the", 1)], "pretoken string, freq bigint").write.parquet(f"{out}/batch=1")
+    corpus.compact_freq(spark, out, 5)
+    os.mkdir(f"{out}/snapshot=6")
+    assert same(corpus.latest_freq(spark, out), want)
+    files = corpus.latest_freq(spark, out).inputFiles()
+    assert {f.split("/")[-2] for f in files} == {"snapshot=5", "batch=6"}
+    corpus.compact_freq(spark, out, 6)
+    assert same(corpus.latest_freq(spark, out), want)
+
+
+def test_a_stream_goes_on_until_it_is_stopped(spark, data, pieces, tmp_path):
+    _, docs = pieces
+    folder, out, state = (str(tmp_path / n) for n in ("in", "freq", "state"))
+    first, second, third = docs.filter("doc_id < 10"), docs.filter("doc_id between 10 and 19"), docs.filter("doc_id between 20 and 24")
+    first.coalesce(1).write.parquet(folder)
+
+    def wait_for(query, rows):
+        want, deadline = pretoken.pretoken_freq(rows), time.time() + 60
+        while time.time() < deadline:
+            query.processAllAvailable()
+            if same(corpus.latest_freq(spark, out), want):
+                return True
+        return False
+
+    query = corpus.stream_pretoken_freq(stream(spark, folder), out, state, every="200 milliseconds")
+    assert query.isActive and wait_for(query, first)
+    second.coalesce(1).write.mode("append").parquet(folder)
+    assert wait_for(query, first.union(second)) and query.isActive
+    query.stop()
+    third.coalesce(1).write.mode("append").parquet(folder)
+    resumed = corpus.stream_pretoken_freq(stream(spark, folder), out, state, every="200 milliseconds")
+    assert wait_for(resumed, first.union(second).union(third))
+    resumed.stop()
+    assert not resumed.isActive

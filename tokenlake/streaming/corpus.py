@@ -1,7 +1,12 @@
 """Encoding and counting while a corpus arrives in pieces.
 
 Results go to tables. Counts are written per micro-batch under its number, so a
-batch that runs again after a failure replaces its own rows.
+batch that runs again after a failure replaces its own rows. Every few batches the
+counts so far are merged into a snapshot; it counts from the moment its mark is
+written, and readers take the newest one and the batches after it.
+
+A stream processes what is there and stops, or with ``every`` goes on, looking for
+new files at that interval until its query is stopped.
 """
 
 from __future__ import annotations
@@ -10,10 +15,15 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from tokenlake.functions.text import pretokens, without_specials
 from tokenlake.operators.codec import encode
 from tokenlake.operators.tokenizer import Tokenizer
+from tokenlake.workspace import hadoop_path
+
+# Micro-batches after which counts are merged into a snapshot.
+COMPACT_EVERY = 20
 
 
 def stream_corpus(
@@ -39,9 +49,13 @@ def stream_corpus(
     return docs
 
 
-def _run(writer) -> None:
-    """Process all that is there and stop."""
-    writer.trigger(availableNow=True).start().awaitTermination()
+def _run(writer, every: str | None = None) -> StreamingQuery:
+    """Process all that is there and stop, or start a query that goes on."""
+    if every is not None:
+        return writer.trigger(processingTime=every).start()
+    query = writer.trigger(availableNow=True).start()
+    query.awaitTermination()
+    return query
 
 
 def stream_encode(
@@ -52,13 +66,14 @@ def stream_encode(
     text_col: str = "text",
     keep: Sequence[str] = ("doc_id",),
     method: str = "auto",
-) -> None:
+    every: str | None = None,
+) -> StreamingQuery:
     """Append (keep, ids, n_tokens) of every arriving row to ``target``.
 
     Encoding is row-local, so the stream keeps no state beyond its progress.
     """
     coded = encode(docs, tokenizer, text_col, keep, method)
-    _run(coded.writeStream.format("parquet").option("path", target).option("checkpointLocation", state))
+    return _run(coded.writeStream.format("parquet").option("path", target).option("checkpointLocation", state), every)
 
 
 def _per_batch(target: str, reduce: Callable[[DataFrame], DataFrame] = lambda df: df):
@@ -69,26 +84,88 @@ def _per_batch(target: str, reduce: Callable[[DataFrame], DataFrame] = lambda df
 
 
 def stream_pretoken_freq(
-    docs: DataFrame, target: str, state: str, text_col: str = "text", specials: Sequence[str] = ()
-) -> None:
+    docs: DataFrame,
+    target: str,
+    state: str,
+    text_col: str = "text",
+    specials: Sequence[str] = (),
+    every: str | None = None,
+    compact_every: int = COMPACT_EVERY,
+) -> StreamingQuery:
     """Running word counts: each micro-batch writes the words it changed."""
     counts = (
         docs.select(F.explode(pretokens(without_specials(F.col(text_col), specials))).alias("pretoken"))
         .groupBy("pretoken")
         .agg(F.count(F.lit(1)).alias("freq"))
     )
-    _run(
-        counts.writeStream.outputMode("update").foreachBatch(_per_batch(target)).option("checkpointLocation", state)
-    )
+    write = _per_batch(target)
+
+    def write_and_compact(batch: DataFrame, batch_id: int) -> None:
+        write(batch, batch_id)
+        if (batch_id + 1) % compact_every == 0:
+            compact_freq(batch.sparkSession, target, batch_id)
+
+    writer = counts.writeStream.outputMode("update").foreachBatch(write_and_compact)
+    return _run(writer.option("checkpointLocation", state), every)
+
+
+_FREQ = "pretoken string, freq bigint"
+
+
+def _numbers(spark: SparkSession, target: str, kind: str) -> list[int]:
+    """Numbers of the complete folders ``kind=N`` under ``target``, in order."""
+    fs, root = hadoop_path(spark, target)
+    found = []
+    for status in fs.listStatus(root) if fs.exists(root) else []:
+        name = status.getPath().getName()
+        done, marker = hadoop_path(spark, f"{target}/{name}/_SUCCESS")
+        if name.startswith(f"{kind}=") and done.exists(marker):
+            found.append(int(name[len(kind) + 1 :]))
+    return sorted(found)
+
+
+def _freq_parts(spark: SparkSession, target: str, upto: int | None = None) -> tuple[int, list[int]]:
+    """(the newest snapshot's last batch, -1 without one; the batches after it)."""
+    fits = [n for n in _numbers(spark, target, "snapshot") if upto is None or n <= upto]
+    last = fits[-1] if fits else -1
+    return last, [n for n in _numbers(spark, target, "batch") if n > last and (upto is None or n <= upto)]
+
+
+def _read_freq(spark: SparkSession, target: str, last: int, batches: Sequence[int]) -> DataFrame:
+    def part(folder: str, number: int) -> DataFrame:
+        return spark.read.schema(_FREQ).parquet(f"{target}/{folder}").withColumn("batch", F.lit(number).cast("bigint"))
+
+    rows = spark.createDataFrame([], _FREQ + ", batch bigint") if last < 0 else part(f"snapshot={last}", last)
+    for n in batches:
+        rows = rows.unionByName(part(f"batch={n}", n))
+    return rows.groupBy("pretoken").agg(F.max_by("freq", "batch").alias("freq"))
+
+
+def compact_freq(spark: SparkSession, target: str, upto: int) -> None:
+    """Merge the counts up to batch ``upto`` into a snapshot and delete older snapshots and batches that it holds.
+
+    Spark's mark of a finished write makes the snapshot count; until then readers use the one before. A batch in it that
+    runs again writes its own folder, which no reader takes any more, so it changes nothing.
+    """
+    last, batches = _freq_parts(spark, target, upto)
+    if last == upto:
+        return
+    _read_freq(spark, target, last, batches).write.mode("overwrite").parquet(f"{target}/snapshot={upto}")
+    # The snapshot before and the batches since stay for readers that have just looked.
+    old = [f"snapshot={n}" for n in _numbers(spark, target, "snapshot") if n < last]
+    for folder in old + [f"batch={n}" for n in _numbers(spark, target, "batch") if n <= last]:
+        fs, path = hadoop_path(spark, f"{target}/{folder}")
+        fs.delete(path, True)
 
 
 def latest_freq(spark: SparkSession, target: str) -> DataFrame:
-    """(pretoken, freq) from the batches of :func:`stream_pretoken_freq`."""
-    batches = spark.read.schema("pretoken string, freq bigint, batch bigint").parquet(target)
-    return batches.groupBy("pretoken").agg(F.max_by("freq", "batch").alias("freq"))
+    """(pretoken, freq) of :func:`stream_pretoken_freq`: its newest snapshot and the batches after it."""
+    return _read_freq(spark, target, *_freq_parts(spark, target))
 
 
-def stream_corpus_stats(docs: DataFrame, tokenizer: Tokenizer, target: str, state: str, text_col: str = "text") -> None:
+def stream_corpus_stats(
+    docs: DataFrame, tokenizer: Tokenizer, target: str, state: str, text_col: str = "text", every: str | None = None
+) -> StreamingQuery:
     """One row (n_docs, n_bytes, n_tokens, written_at) per micro-batch."""
 
     def reduce(batch: DataFrame) -> DataFrame:
@@ -99,7 +176,7 @@ def stream_corpus_stats(docs: DataFrame, tokenizer: Tokenizer, target: str, stat
             F.coalesce(F.sum("n_tokens"), F.lit(0)).cast("bigint").alias("n_tokens"),
         ).withColumn("written_at", F.current_timestamp())
 
-    _run(docs.writeStream.foreachBatch(_per_batch(target, reduce)).option("checkpointLocation", state))
+    return _run(docs.writeStream.foreachBatch(_per_batch(target, reduce)).option("checkpointLocation", state), every)
 
 
 def batch_stats(spark: SparkSession, target: str) -> DataFrame:
