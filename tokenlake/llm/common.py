@@ -107,6 +107,14 @@ def spans_text(spans_col: str) -> Column:
     return F.array_join(F.transform(spans_col, lambda s: F.concat_ws(":", s["start"], s["end"])), ",")
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names with as many underscores behind them as it takes to be no column of ``df``."""
+    taken, mark = {c.lower() for c in df.columns}, ""
+    while any((name + mark).lower() in taken for name in names):
+        mark += "_"
+    return [name + mark for name in names]
+
+
 def without(df: DataFrame, names: Sequence[str]) -> DataFrame:
     """``df`` without columns that an operator is about to add under these names."""
     return df.drop(*[n for n in df.columns if n.lower() in {x.lower() for x in names}])

@@ -1,16 +1,23 @@
 """Near duplicates by MinHash signatures and a multi-index join under Hamming distance.
 
 A text is the set of its distinct five-word shingles. Rows of equal word sequences form a class, so copies cost
-one row. The signature of a class has ``CHUNKS`` chunks of three 16-bit MinHash values. By the pigeonhole principle, two
-signatures that differ in fewer than ``2 * CHUNKS`` values agree in two of the three values of some chunk; so each chunk is
-indexed once with each value left out, and a lookup finds every pair under that distance. A pair of similarity 0.75
-is in no common bucket with a chance of about 1e-8 (0.156 ** 10). Every candidate, also one over that distance, is
-confirmed on full shingle sets unless the sizes of the sets rule a link out.
+one row. The signature of a class has ``CHUNKS`` chunks of ``WIDTH`` 16-bit MinHash values. By the pigeonhole principle, two
+signatures that differ in fewer than ``2 * CHUNKS`` values have a chunk with at most one error; so each chunk is indexed
+once with each value left out, and a lookup finds every pair under that distance, most others near it, and few of those
+far away. Found pairs whose signatures differ in ``FAR`` values or more are dropped before any text moves, and so are
+pairs whose sketches (a byte of the least hash in each of ``BINS`` parts of the hash range; a bit for each of ``BITS`` parts,
+looked at first) show a similarity too low by ``DEVIATIONS`` standard deviations. The rest are confirmed on full shingle
+sets. By arithmetic a pair of similarity 0.75 is in no common bucket with a chance of 6e-6 (0.367 ** 12), its signatures are
+too far with one of 1e-6 and its sketches with one of 1e-8; all fall quickly for higher similarities.
 
 Buckets of many classes are not expanded into pairs. In each round the members of a bucket are compared with a few pivots,
 which are then done with; confirmed links merge components, and buckets whose members are all in one component are
 done. The others go on with further pivots (more in each round, up to a bound), so no link between components is lost.
 
+After the first round, buckets that are still open hold classes that mostly share a passage and are not linked. Their members
+are put into other buckets: linked sets share one of the rarest shingles of each, of which a set needs its size less what
+a link must share, plus one. A class whose own shingles outnumber these leaves at once; no linked pair is lost by that.
+
 Joins that an exchange or a write follows leave hot keys to Spark's own splitting of skewed partitions; the others are salted.
 """
 
@@ -25,8 +32,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tokenlake.llm.common import per_text, row_key, table, without
-from tokenlake.operators.skew import salted_join
+from tokenlake.llm.common import per_text, row_key, table, unused, without
+from tokenlake.llm.phrase_mining import bitmap, bits_for, has_bits
+from tokenlake.operators.skew import join_groups, salted_join
 from tokenlake.shipping import ship_package
 from tokenlake.workspace import Workspace
 
@@ -36,12 +44,18 @@ LOWER = bytes(range(65)) + b"abcdefghijklmnopqrstuvwxyz" + bytes(range(91, 256))
 TO_BLANK = bytes(0x20 if b in BLANKS else LOWER[b] for b in range(256))
 SHINGLE = 5
 PERCENT = 75
-CHUNKS = 10
+# Chunks of a signature and values in each; pairs that differ in FAR values are not confirmed.
+CHUNKS, WIDTH = 12, 5
+FAR = 33
+# Bins of a sketch, a byte each; bins of which it holds a bit; how far below the bound the estimate of a linked pair may be.
+BINS, BITS, DEVIATIONS = 1024, 256, 6.0
 # Pairs of one pivot that a single task confirms.
 PAIRS_PER_SALT = 64
 # Pivots that one bucket uses in one round grow by this factor up to the bound; the rest follow in later rounds.
 PIVOT_GROWTH = 16
 MAX_PIVOTS = 1024
+# How many classes have a shingle at least, by rarity.
+RARITY = (2, 8, 64, 1024)
 # Shingles that are hashed for all signature values at a time.
 BLOCK = 4096
 
@@ -50,6 +64,8 @@ SIGNED = T.StructType(
         T.StructField("class", T.BinaryType()),
         T.StructField("n", T.LongType()),
         T.StructField("signature", T.ArrayType(T.ShortType())),
+        T.StructField("sketch", T.BinaryType()),
+        T.StructField("bits", T.ArrayType(T.LongType())),
     ]
 )
 
@@ -73,23 +89,70 @@ def _hashed(found: set[bytes]) -> np.ndarray:
     return np.fromiter(map(xxhash.xxh3_64_intdigest, found), np.uint64, len(found))
 
 
+def sketch_of(hashes: np.ndarray, n_bins: int) -> np.ndarray:
+    """A byte of the least hash in each bin of sorted hashes, from 1; 0 for an empty bin."""
+    bins = (hashes >> np.uint64(65 - n_bins.bit_length())).astype(np.intp)
+    first = np.flatnonzero(np.append(True, bins[1:] != bins[:-1]))
+    sketch = np.zeros(n_bins, np.uint8)
+    sketch[bins[first]] = hashes[first] % np.uint64(255) + np.uint64(1)
+    return sketch
+
+
+def bits_of(hashes: np.ndarray) -> list[int]:
+    """One bit per bin, which is zero for an empty one."""
+    return np.packbits(sketch_of(hashes, BITS) & 1).view(np.int64).tolist()
+
+
+def sketches_allow(a: np.ndarray, b: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Whether the share of bins with equal least hashes, of those that are not empty in both, allows a link.
+
+    The least hashes of the used bins are a sample, without replacement, of the union of both sets, whose size follows
+    from the sum of ``sizes`` at the bound; small sets are nearly in full in their sketches.
+    """
+    used, wanted = np.maximum(((a | b) != 0).sum(axis=1), 1), PERCENT / 100
+    share = ((a == b) & (a != 0)).sum(axis=1) / used
+    unseen = np.clip(1 - used / np.maximum(sizes / (1 + wanted), 1), 0, 1)
+    return share >= wanted - DEVIATIONS * np.sqrt(wanted * (1 - wanted) / used * unseen) - 2 / used
+
+
+@F.arrow_udf(T.BooleanType())
+def _alike(left: pa.Array, right: pa.Array, sizes: pa.Array) -> pa.Array:
+    if not len(left):
+        return pa.array([], pa.bool_())
+    a, b = (np.frombuffer(b"".join(x.to_pylist()), np.uint8).reshape(-1, BINS) for x in (left, right))
+    return pa.array(sketches_allow(a, b, sizes.to_numpy()))
+
+
+def _bits_allow() -> str:
+    """SQL: sets of ``n`` and ``pn`` shingles with bits ``bits`` and ``pbits`` may be linked.
+
+    Of the bins in use, at most as many as the union has elements, one in eight has another bit at the bound.
+    """
+    share = (100 - PERCENT) / 200
+    used = f"least({BITS}, greatest(n, pn) * {100 / PERCENT})"
+    errors = " + ".join(f"bit_count(bits[{i}] ^ pbits[{i}])" for i in range(BITS // 64))
+    sizes = f"100 * least(n, pn) >= {PERCENT} * greatest(n, pn)"
+    return f"{sizes} AND {errors} <= {share} * {used} + {DEVIATIONS} * sqrt({share * (1 - share)} * {used})"
+
+
 def _signer():
     rng = np.random.default_rng(20_24)
-    odd = rng.integers(0, 1 << 63, 3 * CHUNKS, dtype=np.uint64)[:, None] * np.uint64(2) + np.uint64(1)
-    plus = rng.integers(0, 1 << 63, 3 * CHUNKS, dtype=np.uint64)[:, None]
+    odd = rng.integers(0, 1 << 63, WIDTH * CHUNKS, dtype=np.uint64)[:, None] * np.uint64(2) + np.uint64(1)
+    plus = rng.integers(0, 1 << 63, WIDTH * CHUNKS, dtype=np.uint64)[:, None]
 
     def sign(data: bytes | None) -> dict:
         words = data.translate(TO_BLANK).split() if data else []
         found = shingles(data)
         if not found:
-            return {"class": None, "n": 0, "signature": None}
+            return {"class": None, "n": 0, "signature": None, "sketch": None, "bits": None}
         hashes, least = _hashed(found), None
+        hashes.sort()
         for at in range(0, len(hashes), BLOCK):
             mixed = ((hashes[at : at + BLOCK] * odd + plus) >> np.uint64(32)).min(axis=1)
             least = mixed if least is None else np.minimum(least, mixed)
         # The low bits of the least value, as the high ones are near zero.
         bits = (least & np.uint64(0xFFFF)).astype(np.uint16).view(np.int16)
-        return {"class": hashlib.md5(b" ".join(words)).digest(), "n": len(found), "signature": bits.tolist()}
+        return {"class": hashlib.md5(b" ".join(words)).digest(), "n": len(found), "signature": bits.tolist(), "sketch": sketch_of(hashes, BINS).tobytes(), "bits": bits_of(hashes)}
 
     return sign
 
@@ -138,22 +201,68 @@ def _settled(work: Workspace, links: DataFrame, name: str) -> DataFrame:
             return labels
 
 
-def link_classes(work: Workspace, classes: DataFrame) -> DataFrame:
-    """(node, label) of classes (node, text, n, signature) that are linked with another."""
+def _buckets(signature: str) -> list:
+    """A key per chunk and value left out of it."""
     slots = []
     for chunk in range(CHUNKS):
-        for left_out in range(3):
-            pair = [3 * chunk + i for i in range(3) if i != left_out]
-            slots.append(F.xxhash64(F.lit(3 * chunk + left_out), *[F.get("signature", F.lit(i)) for i in pair]))
-    rows = classes.select("node", F.explode(F.array(*slots)).alias("bucket"))
-    # Buckets of one class are dropped after counting; the counts combine on the map side.
-    shared = rows.groupBy("bucket").agg(F.min("node").alias("_low"), F.max("node").alias("_high")).filter("_low < _high")
+        for left_out in range(WIDTH):
+            rest = [WIDTH * chunk + i for i in range(WIDTH) if i != left_out]
+            slots.append(F.xxhash64(F.lit(WIDTH * chunk + left_out), *[F.get(signature, F.lit(i)) for i in rest]))
+    return slots
+
+
+def _rare_buckets(work: Workspace, texts: DataFrame) -> DataFrame:
+    """(bucket, node): classes (node, text) by the shingles that they must share with a linked one.
+
+    Shingles are ordered by how many classes have them, in steps, then by hash. Bitmaps of bounded size tell the steps; a
+    false positive is one for all classes, so the order stays the same for all.
+    """
+    ship_package(work.spark)
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for text in batch.column("text"):
+                found = _hashed(shingles(text.as_py().encode())).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(found)], ["h"])
+
+    counts = texts.select("text").mapInArrow(each, "h long").groupBy("h").agg(F.count(F.lit(1)).alias("c"))
+    counts = work.save(counts.filter(F.col("c") >= RARITY[0]), "shingles")
+    steps = []
+    for least in RARITY:
+        common = counts.filter(F.col("c") >= least)
+        size = bits_for(common.count())
+        steps.append((size, bitmap(common.select(F.col("h").bitwiseAND(F.lit(size - 1)).alias("slot")), size)))
+    shared = work.spark.sparkContext.broadcast(steps)
+
+    def rarest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for node, text in zip(batch.column("node").to_pylist(), batch.column("text")):
+                found = _hashed(shingles(text.as_py().encode()))
+                step = sum(has_bits(bits, found & np.uint64(size - 1)).astype(np.int8) for size, bits in shared.value)
+                needed = len(found) - -(-PERCENT * len(found) // 100) + 1
+                first = np.lexsort((found, step))[:needed]
+                kept = found[first[step[first] > 0]].view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(kept), pa.array(np.full(len(kept), node, np.int64))], ["bucket", "node"])
+
+    return texts.select("node", "text").mapInArrow(rarest, "bucket long, node long")
+
+
+def link_classes(work: Workspace, classes: DataFrame, texts: DataFrame) -> DataFrame | None:
+    """(node, label) of classes (node long, n, signature) that are linked with another; None without links.
+
+    ``texts`` has (node, text, sketch, bits) for all classes; only those of candidates leave their place.
+    """
+    rows = classes.select("node", F.explode(F.array(*_buckets("signature"))).alias("bucket"))
+    # A class is in a bucket once, so a count tells those of several; counts combine on the map side.
+    shared = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
     # Written first, so that Spark can split hot buckets in the join.
     shared = work.save(shared.select("bucket"), "shared")
     buckets = work.save(rows.join(shared, "bucket"), "buckets")
-    members = work.save(buckets.select("node").distinct().join(classes, "node"), "members")
-    sizes, texts = members.select("node", "n"), members.select("node", "text")
-    linked, links, tried, labels, step = _confirmer(work.spark), None, None, None, 0
+    sketches = join_groups(texts.select("node", "sketch", "bits"), buckets.select("node").distinct(), ["node"])
+    members = work.save(sketches.join(classes, "node"), "members")
+    buckets = work.save(buckets.join(members.select("node", "n", "bits"), "node"), "places")
+    ship_package(work.spark)
+    linked, links, tried, labels, rare, step = _confirmer(work.spark), None, None, None, False, 0
     while True:
         # Open buckets hold members of more than one component.
         placed = buckets.withColumn("label", F.col("node"))
@@ -162,26 +271,42 @@ def link_classes(work: Workspace, classes: DataFrame) -> DataFrame:
         if tried is not None:
             done = tried.select("bucket", F.col("pivot").alias("node"))
             placed = placed.join(done, ["bucket", "node"], "left_anti")
-        placed = work.save(placed.select("bucket", "node", "label"), f"placed-{step}")
+        placed = work.save(placed.select("bucket", "node", "label", "n", "bits"), f"placed-{step}")
         # The largest component of a bucket needs no pivots: each other member meets it as a pivot of its own.
         counts = placed.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("c"))
         several = counts.groupBy("bucket").agg(F.max_by("label", F.struct("c", "label")).alias("major"), F.count(F.lit(1)).alias("k"))
         several = work.save(several.filter("k > 1").select("bucket", "major"), f"open-{step}")
         if not several.limit(1).count():
             return labels
+        if step == 1 and not rare:
+            crowd = placed.join(several.select("bucket"), "bucket").select("node").distinct()
+            crowd = work.save(join_groups(texts.select("node", "text"), crowd, ["node"]), "crowd")
+            again = work.save(_rare_buckets(work, crowd), "rare")
+            alone = again.groupBy("bucket").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("bucket")
+            again = again.join(work.save(alone, "rare-shared"), "bucket")
+            buckets = work.save(again.join(members.select("node", "n", "bits"), "node"), "rare-places")
+            rare, tried = True, None
+            continue
         minor = salted_join(placed, several, ["bucket"], rows_per_salt=20_000).filter("label != major")
         part = F.pmod(F.xxhash64("node", F.lit(step)), F.lit(min(PIVOT_GROWTH**step, MAX_PIVOTS)))
-        pivots = minor.groupBy("bucket", part.alias("part")).agg(F.min(F.struct("node", "label")).alias("p"))
-        pivots = work.save(pivots.select("bucket", F.col("p.node").alias("pivot"), F.col("p.label").alias("own")), f"pivots-{step}")
-        met = salted_join(placed, pivots, ["bucket"], rows_per_salt=20_000).filter("label != own")
-        pairs = work.save(met.select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct(), f"pairs-{step}")
-        # Unequal sizes cannot be linked; far signatures can, so all other pairs are confirmed on texts.
-        near = pairs.join(sizes.select(F.col("node").alias("a"), F.col("n").alias("na")), "a")
-        near = near.join(sizes.select(F.col("node").alias("b"), F.col("n").alias("nb")), "b")
-        alike = 100 * F.least("na", "nb") >= PERCENT * F.greatest("na", "nb")
-        near = work.save(near.filter(alike).select("a", "b"), f"near-{step}")
-        second = near.join(texts.select(F.col("node").alias("b"), F.col("text").alias("tb")), "b")
-        whole = salted_join(second, texts.select(F.col("node").alias("a"), F.col("text").alias("ta")), ["a"], rows_per_salt=PAIRS_PER_SALT)
+        pivots = minor.groupBy("bucket", part.alias("part")).agg(F.min(F.struct("node", "label", "n", "bits")).alias("p"))
+        columns = [F.col(f"p.{c}").alias(x) for c, x in (("node", "pivot"), ("label", "own"), ("n", "pn"), ("bits", "pbits"))]
+        pivots = work.save(pivots.select("bucket", *columns), f"pivots-{step}")
+        met = salted_join(placed, pivots, ["bucket"], rows_per_salt=20_000).filter(f"label != own AND {_bits_allow()}")
+        pairs = met.select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
+        # Sets of unequal sizes cannot be linked, and far signatures hardly ever are.
+        near = pairs
+        for side in "ab":
+            columns = [F.col(c).alias(x + side) for c, x in (("n", "n"), ("signature", "s"), ("sketch", "k"))]
+            near = near.join(members.select(F.col("node").alias(side), *columns), side)
+        errors = F.expr("aggregate(zip_with(sa, sb, (x, y) -> if(x = y, 0, 1)), 0, (s, x) -> s + x)")
+        alike = (100 * F.least("na", "nb") >= PERCENT * F.greatest("na", "nb")) & (errors < FAR)
+        near = work.save(near.filter(alike).filter(_alike("ka", "kb", F.col("na") + F.col("nb"))).select("a", "b"), f"near-{step}")
+        # Texts of pairs alone are copied, once per class.
+        paired = near.select(F.col("a").alias("node")).union(near.select(F.col("b").alias("node"))).distinct()
+        moved = work.save(join_groups(texts.select("node", "text"), paired, ["node"]), f"texts-{step}")
+        second = near.join(moved.select(F.col("node").alias("b"), F.col("text").alias("tb")), "b")
+        whole = salted_join(second, moved.select(F.col("node").alias("a"), F.col("text").alias("ta")), ["a"], rows_per_salt=PAIRS_PER_SALT)
         new = work.save(whole.filter(linked(F.col("ta"), F.col("tb"))).select("a", "b"), f"links-{step}")
         links = new if links is None else links.unionByName(new)
         if new.limit(1).count():
@@ -191,36 +316,38 @@ def link_classes(work: Workspace, classes: DataFrame) -> DataFrame:
         step += 1
 
 
-def _with_components(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """:func:`near_duplicates` with _component, which names the component also where ids are NULL or repeat; NULL without shingles."""
+def _with_components(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, str]:
+    """:func:`near_duplicates` and the name of one more column, which names the component also where ids are NULL or repeat; it
+    is NULL without shingles."""
     spark = docs.sparkSession
     added = ("n_shingles", "component_id", "kept")
     clean = without(docs, added)
     work = Workspace(spark, "near-dedup")
     sign = per_text(spark, SIGNED, _signer, as_bytes=True)
     signed = clean.select(F.col(id_col).alias("_id"), row_key(id_col, text_col).alias("_key"), F.col(text_col).alias("_text"), sign(F.col(text_col)).alias("_s"))
-    rows = work.save(signed.select("_id", "_key", "_text", "_s.*"), "rows")
+    rows = work.save(signed.select("_id", "_key", "_text", "_s.*", F.monotonically_increasing_id().alias("node")), "rows")
     worded = rows.filter("class is not null")
-    # The text of a class is that of its first row; rows carry no text in this shuffle.
+    # A class is named by one of its rows, which gives its text; rows carry no text in this shuffle.
     firsts = worded.groupBy("class").agg(
-        F.min("_id").alias("low"), F.min("_key").alias("first"), F.first("n").alias("n"), F.first("signature").alias("signature")
+        F.min("_id").alias("low"), F.min("node").alias("node"), F.first("n").alias("n"), F.first("signature").alias("signature")
     )
     firsts = work.save(firsts, "firsts")
-    text_of = worded.select(F.col("_key").alias("first"), F.col("_text").alias("text"))
-    classes = firsts.join(text_of, "first").dropDuplicates(["first"])
-    labels = link_classes(work, classes.select(F.col("class").alias("node"), "text", "n", "signature"))
+    labels = link_classes(work, firsts.select("node", "n", "signature"), worded.select("node", F.col("_text").alias("text"), "sketch", "bits"))
     if labels is None:
-        ids = firsts.select("class", F.col("class").alias("_component"), F.col("low").alias("component_id"))
+        ids = firsts.select("class", F.col("node").alias("_component"), F.col("low").alias("component_id"))
     else:
-        named = firsts.join(labels, F.col("class") == F.col("node"), "left").select("class", "low", F.coalesce("label", "class").alias("label"))
+        named = firsts.join(labels, "node", "left").select("class", "low", F.coalesce("label", "node").alias("label"))
         named = work.save(named, "named")
         least = named.groupBy("label").agg(F.min("low").alias("component_id"))
         ids = named.select("class", "label").join(least, "label").select("class", F.col("label").alias("_component"), "component_id")
     found = worded.select("_key", "class", "n").distinct().join(ids, "class")
-    out = clean.withColumn("_key", row_key(id_col, text_col)).join(found, "_key", "left")
-    component = F.when(F.col("class").isNotNull(), F.col("component_id")).otherwise(F.col(id_col))
-    out = out.withColumn("component_id", component).withColumn("n_shingles", F.coalesce("n", F.lit(0)).cast("long"))
-    return out.withColumn("kept", F.col(id_col).eqNullSafe(F.col("component_id"))).select(*clean.columns, *added, "_component")
+    names = unused(clean, "_key", "_n", "_component", "_least")
+    key, n, component, least = names
+    found = found.select(F.col("_key").alias(key), F.col("n").alias(n), F.col("_component").alias(component), F.col("component_id").alias(least))
+    out = clean.withColumn(key, row_key(id_col, text_col)).join(found, key, "left")
+    reached = F.when(F.col(component).isNotNull(), F.col(least)).otherwise(F.col(id_col))
+    results = (F.coalesce(F.col(n), F.lit(0)).cast("long"), reached, F.col(id_col).eqNullSafe(reached))
+    return out.select(*clean.columns, *[value.alias(name) for value, name in zip(results, added)], component), component
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -228,9 +355,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     NULL, empty and wordless texts have no shingles and are linked with nothing. Rows of equal id and text are one
     document, so all of them get the same result. A NULL id comes after all others as component_id; its row is kept only if
-    its component has no other id. Every input row gives one row; added columns replace columns of the same name.
+    its component has no other id. Every input row gives one row, an empty table none; texts of any length are compared whole.
+    Added columns replace columns of the same name, other columns keep their values.
     """
-    return _with_components(docs, id_col, text_col).drop("_component")
+    found, component = _with_components(docs, id_col, text_col)
+    return found.drop(component)
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -240,13 +369,15 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """
     work = Workspace(docs.sparkSession, "near-dedup")
     # Written first, so that the numbers of equal rows hold.
-    rows = work.save(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
-    found = _with_components(rows, id_col, text_col).select(*docs.columns, "_row", "_component")
-    found = work.save(found, "components")
-    place = F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), row_key(*docs.columns).alias("key"), "_row")
-    first = found.filter("_component is not null").groupBy("_component").agg(F.min(place)["_row"].alias("_row"))
-    stays = found.join(first.select("_row", F.lit(True).alias("_first")), "_row", "left")
-    return stays.filter("_component is null or _first").select(*docs.columns)
+    (row,) = unused(docs, "_row")
+    rows = work.save(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    found, component = _with_components(rows, id_col, text_col)
+    # Columns that the components replace come back from the rows themselves.
+    place = F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), row_key(*docs.columns).alias("key"), F.col(row).alias("row"))
+    keyed = work.save(found.select(F.col(row), F.col(component)).join(rows.select(row, place.alias("place")), row), "components")
+    first = keyed.filter(F.col(component).isNotNull()).groupBy(component).agg(F.min("place")["row"].alias(row))
+    stays = keyed.filter(F.col(component).isNull()).select(row).unionByName(first.select(row))
+    return join_groups(rows, stays, [row]).select(*docs.columns)
 
 
 def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
