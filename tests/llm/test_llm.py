@@ -3,7 +3,9 @@
 import math
 from collections import Counter
 
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tokenlake.llm import decontaminate, lm_score, near_dedup, suffix_dedup, toxicity
@@ -77,13 +79,84 @@ def test_near_duplicates_as_by_all_pairs(docs):
     assert {d: c for d, c in found.items() if d != c} == {5: 4, 6: 4, 10: 9}
 
 
-def test_a_found_pair_with_far_signatures_is_confirmed(spark):
-    text = words(1, 60)
-    one, other = [1, 2, *range(3, 31)], [1, 2, *range(103, 131)]
-    rows = [(bytearray(b"a"), text, 56, one), (bytearray(b"b"), text + " end", 57, other), (bytearray(b"c"), words(2, 60), 56, other)]
-    classes = spark.createDataFrame(rows, "node binary, text string, n long, signature array<short>")
-    labels = near_dedup.link_classes(near_dedup.Workspace(spark, "near-dedup"), classes)
-    assert {bytes(r["node"]): bytes(r["label"]) for r in labels.collect()} == {b"a": b"a", b"b": b"a"}
+def test_found_pairs_are_confirmed_unless_their_signatures_are_far(spark):
+    text, size = words(1, 60), near_dedup.CHUNKS * near_dedup.WIDTH
+    one = list(range(1, size + 1))
+
+    def differing(n):
+        # The first chunk has one error, so it is always found.
+        return [one[0], one[1], one[2], one[3], 1000, *[x + 1000 for x in one[5 : 4 + n]], *one[4 + n :]]
+
+    near, far = differing(near_dedup.FAR - 1), differing(near_dedup.FAR)
+    assert sum(x != y for x, y in zip(one, near)) == near_dedup.FAR - 1 == sum(x != y for x, y in zip(one, far)) - 1
+    other = words(2, 60)
+    same, bits = bytearray(b"\x07" * near_dedup.BINS), [1, 2, 3, 4]
+    rows = [(0, text, 56, one), (1, text + " end", 57, near), (2, text + " END", 57, far), (3, other, 56, near)]
+    table = spark.createDataFrame([(*r, same, bits) for r in rows], "node long, text string, n long, signature array<short>, sketch binary, bits array<long>")
+    classes, texts = table.select("node", "n", "signature"), table.select("node", "text", "sketch", "bits")
+    labels = near_dedup.link_classes(near_dedup.Workspace(spark, "near-dedup"), classes, texts)
+    assert {r["node"]: r["label"] for r in labels.collect()} == {0: 0, 1: 0, 2: 0}
+    assert near_dedup.link_classes(near_dedup.Workspace(spark, "near-dedup"), classes.filter("node <> 1"), texts) is None
+
+
+def test_links_among_many_texts_with_a_common_passage(spark, monkeypatch):
+    passage = words(1, 130).split()
+    rows = []
+    for i in range(90):
+        own = words(100 + i, 60).split()
+        rows.append((2 * i, " ".join(passage + own)))
+        if i % 9 == 0:
+            # Linked with the one before, by a set that is just similar enough.
+            rows.append((2 * i + 1, " ".join(passage[:125] + own[:55] + words(1000 + i, 16).split())))
+    rows += [(500, " ".join(passage)), (501, " ".join(passage[3:])), (502, "tiny"), (503, "tiny"), (504, " ".join(passage * 3))]
+    sets = {d: near_dedup.shingles(t.encode()) for d, t in rows}
+    label = {d: d for d in sets}
+    links = [(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])]
+    for _ in sets:
+        for a, b in links:
+            label[a] = label[b] = min(label[a], label[b])
+    tables, save = {}, near_dedup.Workspace.save
+
+    def watch(self, df, name, *rest):
+        tables[name] = save(self, df, name, *rest)
+        return tables[name]
+
+    monkeypatch.setattr(near_dedup.Workspace, "save", watch)
+    found = near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r["doc_id"]: r["component_id"] for r in found} == label and len(links) >= 12
+    # The common passage fills buckets of the first round, but no bucket of rare shingles.
+    assert tables["crowd"].count() > 60 > tables["rare-places"].select("node").distinct().count()
+
+
+def test_sketches_estimate_the_similarity():
+    sign, rng = near_dedup._signer(), 17
+    for n, changed in ((40, 1), (60, 2), (400, 8), (5000, 100), (5000, 1400), (3, 0)):
+        one = words(rng, n).split()
+        other = [f"x{i}" if i % max(1, n // max(1, changed)) == 5 else w for i, w in enumerate(one)]
+        a, b = (" ".join(x).encode() for x in (one, other))
+        s, t = near_dedup.shingles(a), near_dedup.shingles(b)
+        exact = len(s & t) / len(s | t)
+        x, y = (np.frombuffer(sign(d)["sketch"], np.uint8) for d in (a, b))
+        used = ((x | y) != 0).sum()
+        share = ((x == y) & (x != 0)).sum() / used
+        assert abs(share - exact) <= near_dedup.DEVIATIONS * (0.25 / used) ** 0.5
+        allowed = near_dedup.sketches_allow(x[None], y[None], np.array([len(s) + len(t)]))[0]
+        assert allowed if exact >= 0.75 else not allowed or exact > 0.6
+        errors = sum(((p ^ q) & (2**64 - 1)).bit_count() for p, q in zip(sign(a)["bits"], sign(b)["bits"]))
+        used = min(near_dedup.BITS, max(len(s), len(t)) / 0.75)
+        assert exact < 0.75 or errors <= 0.125 * used + near_dedup.DEVIATIONS * (0.109375 * used) ** 0.5
+    assert sign(None)["sketch"] is None and sign(b"")["n"] == 0
+
+
+def test_near_duplicates_leave_columns_of_any_name_alone(spark, docs):
+    names = ("n", "class", "_key", "_component", "node", "low", "_row", "_first", "place", "row", "_n", "bucket")
+    wide = docs.select("doc_id", "text", *[F.lit(f"{i}").alias(n) for i, n in enumerate(names)], F.lit("own").alias("kept"))
+    found = near_dedup.near_duplicates(wide).collect()
+    assert len(found) == docs.count() and {tuple(r[n] for n in names) for r in found} == {tuple(map(str, range(len(names))))}
+    assert {r["doc_id"]: r["component_id"] for r in found}[5] == 4
+    left = near_dedup.one_of_each(wide)
+    assert left.columns == wide.columns and {r["kept"] for r in left.collect()} == {"own"}
+    assert Counter(r["doc_id"] for r in left.collect())[5] == 0
 
 
 def test_many_near_copies_are_one_component(spark):
@@ -119,7 +192,7 @@ def test_quality_rules_on_odd_rows(docs):
 
 def test_lines_keep_their_first_place(docs):
     rows = {r["doc_id"]: r for r in dedup_units(docs).collect()}
-    assert rows[1]["kept_text"] is None and rows[1]["n_units"] == 0
+    assert rows[1]["kept_text"] is None and rows[1]["n_units"] == rows[2]["n_units"] == rows[3]["n_units"] == 0
     assert rows[4]["n_removed"] == 0 and rows[5]["n_removed"] == 1 and rows[5]["kept_text"] == ""
 
 
@@ -128,7 +201,7 @@ def test_short_lines_and_lines_without_blanks_are_deduplicated(spark):
     rows = [(1, verse), (2, verse), (3, han), (4, "new\n" + han)]
     got = {r["doc_id"]: r for r in dedup_units(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got[1]["n_removed"] == got[3]["n_removed"] == 0
-    assert got[2]["kept_text"] == "\n\n\n" and got[2]["n_removed"] == 3 and got[4]["kept_text"] == "new\n"
+    assert got[2]["kept_text"] == "" and got[2]["n_removed"] == 3 and got[4]["kept_text"] == "new\n"
     few = dedup_units(spark.createDataFrame(rows, "doc_id long, text string"), min_words=5).collect()
     assert sum(r["n_removed"] for r in few) == 0
 

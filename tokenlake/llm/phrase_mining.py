@@ -99,11 +99,11 @@ def bitmap(slots: DataFrame, size: int) -> np.ndarray:
     return out
 
 
-def _bits_for(n: int) -> int:
+def bits_for(n: int) -> int:
     return min(MOST_BITS, max(SLICE_BITS, 1 << (n * BITS_EACH).bit_length()))
 
 
-def _has(bits: np.ndarray, slots: np.ndarray) -> np.ndarray:
+def has_bits(bits: np.ndarray, slots: np.ndarray) -> np.ndarray:
     return (bits[(slots >> WORD(3)).astype(np.int64)] >> (slots & WORD(7)).astype(np.uint8)) & 1 == 1
 
 
@@ -142,7 +142,7 @@ def build_dictionary(counted: DataFrame, work: Workspace, least: int) -> Diction
     rest = words.filter(~common)
     n_rest, bits = rest.count(), None
     if n_rest:
-        size = _bits_for(n_rest)
+        size = bits_for(n_rest)
         bits = spark.sparkContext.broadcast((size, bitmap(rest.select(_word_slot(size).alias("slot")), size)))
     return Dictionary(words, words.count(), spark.sparkContext.broadcast(shared), rest if n_rest else None, bits)
 
@@ -240,7 +240,7 @@ def _places(own: int, ids: bytes, n: int, shorter: tuple[int, np.ndarray] | None
     whole = np.logical_and.reduce([a[i : i + m] != 0 for i in range(n)])
     if shorter is not None:
         size, bits = shorter
-        frequent = _has(bits, _slots([a[i : i + m + 1] for i in range(n - 1)], size))
+        frequent = has_bits(bits, _slots([a[i : i + m + 1] for i in range(n - 1)], size))
         whole &= frequent[:-1] & frequent[1:]
     at = np.flatnonzero(whole)
     return [a[at + i] for i in range(n)]
@@ -295,7 +295,7 @@ def count_level(encoded: DataFrame, layout: Layout, shorter: Broadcast | None, l
 
 def _phrase_bits(phrases: DataFrame, n: int) -> Broadcast:
     """The bitmap of the phrases of a level."""
-    size = _bits_for(n)
+    size = bits_for(n)
 
     def slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
