@@ -98,3 +98,21 @@ def test_a_stream_goes_on_until_it_is_stopped(spark, data, pieces, tmp_path):
     assert wait_for(resumed, first.union(second).union(third))
     resumed.stop()
     assert not resumed.isActive
+
+
+def test_a_table_that_is_a_folder_streams_like_one_file(spark, tmp_path):
+    docs = spark.createDataFrame([(i, f"some words {i}") for i in range(20)], SCHEMA)
+    docs.repartition(3).write.parquet(str(tmp_path / "in" / "documents.parquet"))
+    docs.limit(1).write.parquet(str(tmp_path / "in" / "other.parquet"))
+    tok = bpe.train_bpe(docs, 257 + 5, ["<|endoftext|>"])
+
+    def folder():
+        return corpus.stream_corpus(spark, str(tmp_path / "in"), SCHEMA, "documents.parquet", spread_by="doc_id")
+
+    out = [str(tmp_path / name) for name in ("enc", "enc-state", "stats", "stats-state", "freq", "freq-state")]
+    corpus.stream_encode(folder(), tok, *out[:2])
+    assert same(spark.read.parquet(out[0]), codec.encode(docs, tok))
+    corpus.stream_corpus_stats(folder(), tok, *out[2:4])
+    assert corpus.running_stats(spark, out[2]).first()["n_docs"] == 20
+    corpus.stream_pretoken_freq(folder(), *out[4:])
+    assert same(corpus.latest_freq(spark, out[4]), pretoken.pretoken_freq(docs))

@@ -36,9 +36,13 @@ def stream_corpus(
 ) -> DataFrame:
     """Parquet files of a folder as a stream, new files as they appear.
 
+    ``files`` may name one table under ``path`` that is itself a folder; then the files in it are the stream.
     ``spread_by`` works as in a batch scan: rows are hashed on it only if the
     files present give fewer splits than there are cores.
     """
+    fs, table = hadoop_path(spark, f"{path}/{files}")
+    if fs.exists(table) and fs.getFileStatus(table).isDirectory():
+        path, files = f"{path}/{files}", "*"
     reader = spark.readStream.schema(schema).option("pathGlobFilter", files)
     docs = reader.option("maxFilesPerTrigger", max_files_per_batch).parquet(path)
     if spread_by is not None:
