@@ -190,3 +190,16 @@ def test_merges_out_of_learning_order_follow_the_lowest_rank(spark, monkeypatch)
             for method in ("auto", "fold", "arrow"):
                 assert encoded_ids(codec.encode(df, tok, method=method)) == wanted
         assert 256 in wanted[1]
+
+
+def test_a_large_batch_is_encoded_by_slices(spark, tok):
+    texts = ["some words and others " * 40 * (i % 50) for i in range(400)] + [None, "", "x" * (codec.SLICE_BYTES + 1)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    marked = df.orderBy("doc_id").select(codec.marked_words(F.col("text"), tok).alias("m")).toArrow().column("m").combine_chunks()
+    parts = list(codec.arrow_encoder(df, tok).func(iter([marked.slice(0, 0), marked])))
+    # No piece has more than a slice, unless it is one text.
+    assert all(len(p) == 1 or len(p.flatten()) <= codec.SLICE_BYTES for p in parts) and len(parts) > 4
+    got = [ids for p in parts for ids in p.to_pylist()]
+    assert got == [None if t is None else plain.encode_text(t, tok.encode_rules(), {EOT: 256}) if len(t) < 3000 else got[i] for i, t in enumerate(texts)]
+    want = codec.encode(df.filter("text IS NOT NULL"), tok, method="fold").orderBy("doc_id").collect()
+    assert [ids for ids in got if ids is not None] == [r["ids"] for r in want]

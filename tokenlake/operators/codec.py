@@ -12,7 +12,8 @@ from collections.abc import Iterator, Sequence
 from itertools import repeat
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,8 +26,10 @@ from tokenlake.workspace import Workspace
 FOLD_MERGES = 24
 # The vocabulary is sent to tasks as one literal up to this many bytes.
 LOOKUP_BYTES = 32 << 20
-# Words that one Python worker remembers between rows.
-REMEMBERED_WORDS = 500_000
+# Bytes of words that one Python worker remembers between rows, with so many for each word itself.
+REMEMBERED_BYTES, WORD_BYTES = 64 << 20, 200
+# Bytes of text that a Python worker takes apart at a time; a longer text is taken by itself.
+SLICE_BYTES = 2 << 20
 # Up to this many merges, the new words of a batch are encoded together, merge by merge.
 RULES_PER_PASS = 2_000
 
@@ -126,35 +129,54 @@ def _words_encoder(rules: Sequence[tuple[int, int, int]]):
     return by_rule if ordered and len(rules) <= RULES_PER_PASS else by_word
 
 
+def slices(texts: pa.Array, n_bytes: int) -> Iterator[pa.Array]:
+    """An array of strings cut into runs of at most ``n_bytes``, or of one longer string."""
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+    ends = np.cumsum(sizes, dtype=np.int64)
+    at = 0
+    while at < len(texts):
+        before = ends[at] - sizes[at]
+        end = max(at + 1, int(np.searchsorted(ends, before + n_bytes, "right")))
+        yield texts.slice(at, end - at)
+        at = end
+
+
 def arrow_encoder(df: DataFrame, tokenizer: Tokenizer):
     """Arrow UDF from marked words to ids.
 
-    A batch encodes its distinct new words once; each worker remembers words.
+    A batch has a bounded number of rows, not of bytes, so it is taken apart by slices of bounded size, whose ids are handed
+    on at once. A slice encodes its distinct new words once; each worker remembers words.
     """
     ship_package(df.sparkSession)
     rules = df.sparkSession.sparkContext.broadcast(tokenizer.encode_rules())
 
-    @F.pandas_udf("array<int>")
-    def encode_batches(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("array<int>")
+    def encode_batches(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encode_words = _words_encoder(rules.value)
         remembered: dict[str, str] = {}
+        held = 0
 
-        def ids_of(marked: str | None):
-            if marked is None:
-                return None
-            coded = "".join(map(remembered.__getitem__, marked.split(chars.BOUNDARY)))
+        def ids_of(coded: str) -> np.ndarray:
             points = np.frombuffer(coded.encode("utf-32-le"), dtype=np.uint32).astype(np.int32)
             points[points >= chars.SURROGATE_START] -= chars.SURROGATE_SPAN
             return points
 
         for batch in batches:
-            if len(remembered) > REMEMBERED_WORDS:
-                remembered.clear()
-            words = {w for marked in batch.dropna() for w in marked.split(chars.BOUNDARY)}
-            new = list(words.difference(remembered))
-            if new:
-                remembered.update(zip(new, encode_words(new)))
-            yield batch.map(ids_of)
+            if not len(batch):
+                yield pa.array([], pa.list_(pa.int32()))
+            for part in slices(batch, SLICE_BYTES):
+                texts = [None if marked is None else marked.split(chars.BOUNDARY) for marked in part.to_pylist()]
+                if held > REMEMBERED_BYTES:
+                    remembered.clear()
+                    held = 0
+                new = list({w for words in texts if words is not None for w in words}.difference(remembered))
+                if new:
+                    remembered.update(zip(new, encode_words(new)))
+                    held += 2 * sum(map(len, new)) + WORD_BYTES * len(new)
+                coded = ["" if words is None else "".join(map(remembered.__getitem__, words)) for words in texts]
+                offsets = np.cumsum([0, *map(len, coded)], dtype=np.int32)
+                lost = pa.array([words is None for words in texts])
+                yield pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids_of("".join(coded))), mask=lost)
 
     return encode_batches
 
