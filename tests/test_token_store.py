@@ -3,11 +3,14 @@
 import re
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from tokenlake.functions import hashing
 from tokenlake.operators import dataset
+from tokenlake.sources import token_store
 from tokenlake.sources.token_store import open_store, write_store
 
 DOCS = [
@@ -109,3 +112,12 @@ def test_pairs_of_windows(docs):
     windows = dataset.sample_windows(docs.filter("doc_id = 8").select("doc_id", "ids"), 5, 10, 1)
     pairs = dataset.next_token_pairs(windows, ("sample_id",), "tokens").collect()
     assert len(pairs) == 5 * 9 and all(p["target"] == p["context"] + 1 for p in pairs)
+
+
+def test_blocks_are_unpacked_a_few_at_a_time(spark):
+    block = np.arange(1000, dtype="<u2").tobytes()
+    n = 5 * token_store.UNPACKED_AT_ONCE + 1
+    unpack = token_store._unpacker()
+    parts = list(unpack.func(iter([(pa.array([block] * n), pa.array([16] * n, pa.int32()))])))
+    assert [len(p) for p in parts] == [token_store.UNPACKED_AT_ONCE] * 5 + [1]
+    assert all(ids == list(range(1000)) for p in parts for ids in p.to_pylist())

@@ -24,6 +24,8 @@ from tokenlake.shipping import ship_package
 
 BLOCK = 1 << 14
 WIDTHS = {16: "<u2", 32: "<u4"}
+# Blocks that a Python worker unpacks at a time.
+UNPACKED_AT_ONCE = 64
 # Up to so many blocks are named in the filter of the scan; more are found by the join alone.
 NAMED_BLOCKS = 1024
 
@@ -237,10 +239,20 @@ def _touched(starts: DataFrame, manifest: DataFrame, length: int) -> DataFrame:
 
 
 def _unpack(tokens: str, width: str) -> Column:
-    @F.arrow_udf("array<int>")
-    def unpack(data: pa.Array, bits: pa.Array) -> pa.Array:
-        parts = [np.frombuffer(d, WIDTHS[b]).astype(np.int32) for d, b in zip(data.to_pylist(), bits.to_pylist())]
-        offsets = np.cumsum([0, *map(len, parts)]).astype(np.int32)
-        return pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(parts or [np.zeros(0, np.int32)])))
+    return _unpacker()(F.col(tokens), F.col(width))
+
 
-    return unpack(F.col(tokens), F.col(width))
+def _unpacker():
+    @F.arrow_udf("array<int>")
+    def unpack(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for data, bits in batches:
+            if not len(data):
+                yield pa.array([], pa.list_(pa.int32()))
+            # A batch may hold thousands of blocks; a few of them are unpacked and handed on at a time.
+            for at in range(0, len(data), UNPACKED_AT_ONCE):
+                some = zip(data.slice(at, UNPACKED_AT_ONCE), bits.slice(at, UNPACKED_AT_ONCE))
+                parts = [np.frombuffer(d.as_buffer(), WIDTHS[b.as_py()]).astype(np.int32) for d, b in some]
+                offsets = np.cumsum([0, *map(len, parts)], dtype=np.int32)
+                yield pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(parts)))
+
+    return unpack
