@@ -67,3 +67,14 @@ def test_the_method_follows_the_measured_share(spark, tok, docs, tmp_path):
     assert WordDictionary(spark, path, tok).parts() == [0]
     assert rows(dictionary.encode_measured(same, tok, str(tmp_path / "none"), most=0.0)) == by_words
     assert not (tmp_path / "none").exists()
+
+
+def test_a_word_is_joined_once_for_a_chunk(spark, tok, tmp_path, monkeypatch):
+    joined = []
+    join = dictionary.join_groups
+    monkeypatch.setattr(dictionary, "join_groups", lambda words, *a: joined.append(words.count()) or join(words, *a))
+    docs = spark.createDataFrame([(i, "one two three " * 200) for i in range(50)] + [(50, None)], "doc_id long, text string").repartition(2)
+    got = dictionary.encode_by_dictionary(docs, WordDictionary(spark, str(tmp_path / "d"), tok))
+    assert [(d, i) for d, i, _ in rows(got)] == [(d, i) for d, i, _ in rows(codec.encode(docs, tok))]
+    # 30,000 places of words, a handful of distinct words in each of a few chunks.
+    assert joined[0] <= 5 * 4
