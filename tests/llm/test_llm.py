@@ -1,6 +1,7 @@
 """The text operators against brute force on small tables with NULLs, empty texts, ties and repeated rows."""
 
 import math
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -298,3 +299,24 @@ def test_empty_tables(docs):
     none = docs.limit(0)
     for operator in (apply_rules, dedup_units, near_dedup.near_duplicates, suffix_dedup.dedup_strings):
         assert operator(none).count() == 0
+
+
+def test_toxicity_learns_without_moving_texts(spark, tmp_path, monkeypatch):
+    docs = [(i, f"text {i}") for i in range(40)] + [(3, "again 3"), (None, "no id")]
+    labels = [(i, 0, i % 2) for i in range(40)] + [(3, 0, 1), (3, 0, 1), (4, 0, None), (None, 0, 1)]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    seen = []
+    learn = toxicity.learn_lexicon
+    monkeypatch.setattr(toxicity, "learn_lexicon", lambda training: seen.append(training) or learn(training))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        toxicity.op4_toxicity(spark, str(tmp_path)).collect()
+        got = Counter((r["text"], r["toxic"]) for r in seen[0].collect())
+        plan = seen[0]._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    held_out = {i for i in range(40) if zlib.crc32(str(i).encode()) % 5 == 0}
+    want = Counter((t, y) for i, t in docs for j, _, y in labels if i == j and y is not None and i is not None and i not in held_out)
+    assert got == want and "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan

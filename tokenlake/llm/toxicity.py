@@ -186,6 +186,9 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     labelled = labels.agg(F.countDistinct("doc_id")).first()[0]
     share = min(1_000_000, math.ceil(TRAIN_ROWS * 1_000_000 / max(labelled, 1)))
     chosen = labels.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < share)
-    lexicon = learn_lexicon(docs.join(chosen, "doc_id").select("text", "toxic"))
+    # Few ids by TRAIN_ROWS, however often their labels are repeated, so texts stay where they lie.
+    few = chosen.groupBy("doc_id", "toxic").agg(F.count(F.lit(1)).alias("n"))
+    training = docs.join(F.broadcast(few), "doc_id").select("text", "toxic", F.explode(F.sequence(F.lit(1), F.col("n"))))
+    lexicon = learn_lexicon(training.select("text", "toxic"))
     scored = score_toxicity(docs.withColumn("held_out", held_out), lexicon)
     return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
