@@ -174,8 +174,30 @@ def pack(ids: Sequence[int]) -> bytes:
     return struct.pack(f"<{len(ids)}I", *ids)
 
 
+class _Words(dict):
+    """Packed ids by word; a word that is missing is encoded when it is asked for."""
+
+    def __init__(self, encoder: PrefixEncoder):
+        self.encoder = encoder
+        self.long: list[str] = []
+
+    def __missing__(self, word: str) -> bytes:
+        if len(self) >= REMEMBERED_WORDS:
+            self.clear()
+        if len(word) > REMEMBERED_CHARS:
+            self.long.append(word)
+        packed = self[word] = pack(self.encoder.encode(word.encode("utf-8", "surrogatepass")))
+        return packed
+
+    def forget_long(self) -> None:
+        """Drop words of any length, which are kept for the text at hand only."""
+        for word in self.long:
+            self.pop(word, None)
+        self.long.clear()
+
+
 # What a worker keeps between tasks: by vocabulary, the words it has met.
-_WORKER: dict[str, dict[str, bytes]] = {}
+_WORKER: dict[str, _Words] = {}
 
 
 def _share(spark: SparkSession, ranks: Ranks):
@@ -190,31 +212,27 @@ def _text_encoder(shared) -> Callable[[str | None], bytes]:
     name, encoder, pattern = shared.value
     if name not in _WORKER:
         _WORKER.clear()
-        _WORKER[name] = {}
+        _WORKER[name] = _Words(encoder)
     known = _WORKER[name]
     split = regex.compile(pattern).findall
 
     def encode_text(text: str | None) -> bytes:
         if not text:
             return b""
-        words = split(text)
-        new = set(words).difference(known)
-        if len(known) + len(new) > REMEMBERED_WORDS:
-            known.clear()
-            new = set(words)
-        for word in new:
-            known[word] = pack(encoder.encode(word.encode("utf-8", "surrogatepass")))
-        packed = b"".join(map(known.__getitem__, words))
-        for word in new:
-            if len(word) > REMEMBERED_CHARS:
-                del known[word]
+        packed = b"".join(map(known.__getitem__, split(text)))
+        if known.long:
+            known.forget_long()
         return packed
 
     return encode_text
 
 
 def _ids_decoder(shared) -> Callable[[bytes | None], bytes]:
-    names = {rank: token for token, rank in shared.value[1].ranks.items()}
+    ranks = shared.value[1].ranks
+    # A list by rank; ranks that no token has give None, which fails.
+    names: list[bytes | None] = [None] * (max(ranks.values(), default=-1) + 1)
+    for token, rank in ranks.items():
+        names[rank] = token
 
     def decode_ids(packed: bytes | None) -> bytes:
         return b"".join(map(names.__getitem__, memoryview(packed or b"").cast("I")))
