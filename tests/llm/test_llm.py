@@ -129,6 +129,46 @@ def test_links_among_many_texts_with_a_common_passage(spark, monkeypatch):
     assert tables["crowd"].count() > 60 > tables["rare-places"].select("node").distinct().count()
 
 
+def test_copies_of_a_template_are_not_compared_pair_by_pair(spark, monkeypatch):
+    base, rng, rows = words(1, 150).split(), np.random.default_rng(5), []
+    for i in range(400):
+        text = list(base)
+        for at in rng.integers(0, len(base), i % 12):
+            text[at] = f"v{rng.integers(0, 4)}"
+        rows.append((i + 1, " ".join(text[i % 3 :])))
+    sets = {d: near_dedup.shingles(t.encode()) for d, t in rows}
+    label = {d: d for d in sets}
+    links = [(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])]
+    for _ in range(12):
+        for a, b in links:
+            label[a] = label[b] = min(label[a], label[b])
+    tables, save = {}, near_dedup.Workspace.save
+
+    def watch(self, df, name, *rest):
+        tables[name] = save(self, df, name, *rest)
+        return tables[name]
+
+    monkeypatch.setattr(near_dedup.Workspace, "save", watch)
+    found = near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r["doc_id"]: r["component_id"] for r in found} == label and len(set(label.values())) > 10
+    compared = sum(t.count() for name, t in tables.items() if name.startswith("near-"))
+    assert compared < 2 * len(rows) < len(links) / 4, compared
+
+
+def test_prefixes_of_linked_sets_meet():
+    rng, starts = np.random.default_rng(3), near_dedup._band_starts()
+    for _ in range(3000):
+        n = int(rng.integers(1, 400))
+        m = int(rng.integers(-(-3 * n // 4), 4 * n // 3 + 1))
+        common = -(-75 * (n + m) // 175)
+        if common > min(n, m):
+            continue
+        # The worst order: shingles of one set alone come first.
+        one, other = (dict(((a, b), size) for a, b, size in near_dedup._prefixes(x, starts)) for x in (n, m))
+        bands = tuple(sorted(int(np.searchsorted(starts, x, "right")) - 1 for x in (n, m)))
+        assert one[bands] > n - common and other[bands] > m - common
+
+
 def test_sketches_estimate_the_similarity():
     sign, rng = near_dedup._signer(), 17
     for n, changed in ((40, 1), (60, 2), (400, 8), (5000, 100), (5000, 1400), (3, 0)):

@@ -14,9 +14,11 @@ Buckets of many classes are not expanded into pairs. In each round the members o
 which are then done with; confirmed links merge components, and buckets whose members are all in one component are
 done. The others go on with further pivots (more in each round, up to a bound), so no link between components is lost.
 
-After the first round, buckets that are still open hold classes that mostly share a passage and are not linked. Their members
-are put into other buckets: linked sets share one of the rarest shingles of each, of which a set needs its size less what
-a link must share, plus one. A class whose own shingles outnumber these leaves at once; no linked pair is lost by that.
+After the first round, buckets that are still open hold classes that mostly share a passage or a template and are not linked.
+Their members are put into other buckets: linked sets share one of the rarest shingles of each, of which a set needs its size
+less what a link must share, plus one. What it must share grows with the size of the other, so there are buckets for each two
+bands of sizes. A class whose own shingles outnumber these leaves at once; no linked pair is lost by that. Pivots are the
+classes with the most common shingles, as those reach most others; at first, a few of each bucket join most of the others.
 
 Joins that an exchange or a write follows leave hot keys to Spark's own splitting of skewed partitions; the others are salted.
 """
@@ -51,9 +53,13 @@ FAR = 33
 BINS, BITS, DEVIATIONS = 1024, 256, 6.0
 # Pairs of one pivot that a single task confirms.
 PAIRS_PER_SALT = 64
+# Pivots of the first round among rare shingles, from all of a bucket.
+HUBS = 4
 # Pivots that one bucket uses in one round grow by this factor up to the bound; the rest follow in later rounds.
 PIVOT_GROWTH = 16
 MAX_PIVOTS = 1024
+# Sets of which the larger has at most this many times the size of the smaller are in one band, if they are not in two.
+BAND = 1.08
 # How many classes have a shingle at least, by rarity.
 RARITY = (2, 8, 64, 1024)
 # Shingles that are hashed for all signature values at a time.
@@ -132,7 +138,30 @@ def _bits_allow() -> str:
     used = f"least({BITS}, greatest(n, pn) * {100 / PERCENT})"
     errors = " + ".join(f"bit_count(bits[{i}] ^ pbits[{i}])" for i in range(BITS // 64))
     sizes = f"100 * least(n, pn) >= {PERCENT} * greatest(n, pn)"
-    return f"{sizes} AND {errors} <= {share} * {used} + {DEVIATIONS} * sqrt({share * (1 - share)} * {used})"
+    # Of a linked pair the first common shingle has as many behind it as must be common.
+    behind = f"{100 + PERCENT} * least(n - at, pn - pat) >= {PERCENT} * (n + pn)"
+    return f"{sizes} AND {behind} AND {errors} <= {share} * {used} + {DEVIATIONS} * sqrt({share * (1 - share)} * {used})"
+
+
+def _band_starts(most: int = 1 << 40) -> np.ndarray:
+    starts = [1]
+    while starts[-1] < most:
+        starts.append(max(starts[-1] + 1, int(starts[-1] * BAND)))
+    return np.array(starts, np.int64)
+
+
+def _prefixes(n: int, starts: np.ndarray) -> list[tuple[int, int, int]]:
+    """(lower band, upper band, shingles) for a set of ``n`` and each band of sizes that linked sets may have.
+
+    One of so many first shingles, in an order that is the same for all, is among those of the other set.
+    """
+    least, most = -(-PERCENT * n // 100), 100 * n // PERCENT
+    own, low, high = (int(np.searchsorted(starts, x, "right")) - 1 for x in (n, least, most))
+    out = []
+    for band in range(low, high + 1):
+        common = -(-PERCENT * (n + max(least, int(starts[band]))) // (100 + PERCENT))
+        out.append((min(own, band), max(own, band), n - common + 1))
+    return out
 
 
 def _signer():
@@ -211,10 +240,24 @@ def _buckets(signature: str) -> list:
     return slots
 
 
+def _among(keys: DataFrame, rows: DataFrame, column: str) -> DataFrame:
+    """``rows`` whose ``column`` is in ``keys``, and a few more: a bitmap of bounded size tells, so that no row moves."""
+    ship_package(rows.sparkSession)
+    size = bits_for(keys.count())
+    shared = rows.sparkSession.sparkContext.broadcast(bitmap(keys.select(F.col(column).bitwiseAND(F.lit(size - 1)).alias("slot")), size))
+
+    def stay(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            slots = batch.column(column).to_numpy().view(np.uint64) & np.uint64(size - 1)
+            yield batch.filter(pa.array(has_bits(shared.value, slots)))
+
+    return rows.mapInArrow(stay, rows.schema)
+
+
 def _rare_buckets(work: Workspace, texts: DataFrame) -> DataFrame:
-    """(bucket, node): classes (node, text) by the shingles that they must share with a linked one.
+    """(bucket, node, at, odd): classes (node, text) by the shingles that they must share with a linked one.
 
-    Shingles are ordered by how many classes have them, in steps, then by hash. Bitmaps of bounded size tell the steps; a
+    ``at`` shingles of the class come before that of the bucket; ``odd`` is high for many rare shingles. Shingles are ordered by how many classes have them, in steps, then by hash. Bitmaps of bounded size tell the steps; a
     false positive is one for all classes, so the order stays the same for all.
     """
     ship_package(work.spark)
@@ -235,16 +278,21 @@ def _rare_buckets(work: Workspace, texts: DataFrame) -> DataFrame:
     shared = work.spark.sparkContext.broadcast(steps)
 
     def rarest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        starts, mixer = _band_starts(), 0x9E3779B97F4A7C15
         for batch in batches:
             for node, text in zip(batch.column("node").to_pylist(), batch.column("text")):
                 found = _hashed(shingles(text.as_py().encode()))
                 step = sum(has_bits(bits, found & np.uint64(size - 1)).astype(np.int8) for size, bits in shared.value)
-                needed = len(found) - -(-PERCENT * len(found) // 100) + 1
-                first = np.lexsort((found, step))[:needed]
-                kept = found[first[step[first] > 0]].view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(kept), pa.array(np.full(len(kept), node, np.int64))], ["bucket", "node"])
+                own, odd, ordered = int((step == 0).sum()), int((len(RARITY) - step).sum()), found[np.lexsort((found, step))]
+                # A bucket is a shingle and two bands.
+                spans = [(np.uint64(((low << 32 | high) + 1) * mixer % 2**64), own, n) for low, high, n in _prefixes(len(found), starts) if n > own]
+                if spans:
+                    kept = np.concatenate([ordered[start:end] ^ key for key, start, end in spans]).view(np.int64)
+                    at = np.concatenate([np.arange(start, end) for _, start, end in spans])
+                    columns = [kept, np.full(len(kept), node, np.int64), at, np.full(len(kept), odd, np.int64)]
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["bucket", "node", "at", "odd"])
 
-    return texts.select("node", "text").mapInArrow(rarest, "bucket long, node long")
+    return texts.select("node", "text").mapInArrow(rarest, "bucket long, node long, at long, odd long")
 
 
 def link_classes(work: Workspace, classes: DataFrame, texts: DataFrame) -> DataFrame | None:
@@ -257,21 +305,22 @@ def link_classes(work: Workspace, classes: DataFrame, texts: DataFrame) -> DataF
     shared = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
     # Written first, so that Spark can split hot buckets in the join.
     shared = work.save(shared.select("bucket"), "shared")
-    buckets = work.save(rows.join(shared, "bucket"), "buckets")
+    buckets = work.save(_among(shared, rows, "bucket").join(shared, "bucket"), "buckets")
     sketches = join_groups(texts.select("node", "sketch", "bits"), buckets.select("node").distinct(), ["node"])
     members = work.save(sketches.join(classes, "node"), "members")
+    buckets = buckets.withColumns({"at": F.lit(0).cast("long"), "odd": F.lit(0).cast("long")})
     buckets = work.save(buckets.join(members.select("node", "n", "bits"), "node"), "places")
     ship_package(work.spark)
     linked, links, tried, labels, rare, step = _confirmer(work.spark), None, None, None, False, 0
+    fields = ["bucket", "node", "n", "bits", "at", "odd"]
     while True:
         # Open buckets hold members of more than one component.
         placed = buckets.withColumn("label", F.col("node"))
         if labels is not None:
             placed = buckets.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
         if tried is not None:
-            done = tried.select("bucket", F.col("pivot").alias("node"))
-            placed = placed.join(done, ["bucket", "node"], "left_anti")
-        placed = work.save(placed.select("bucket", "node", "label", "n", "bits"), f"placed-{step}")
+            placed = placed.join(tried, ["bucket", "node"], "left_anti")
+        placed = work.save(placed.select(*fields, "label"), f"placed-{step}")
         # The largest component of a bucket needs no pivots: each other member meets it as a pivot of its own.
         counts = placed.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("c"))
         several = counts.groupBy("bucket").agg(F.max_by("label", F.struct("c", "label")).alias("major"), F.count(F.lit(1)).alias("k"))
@@ -287,12 +336,15 @@ def link_classes(work: Workspace, classes: DataFrame, texts: DataFrame) -> DataF
             buckets = work.save(again.join(members.select("node", "n", "bits"), "node"), "rare-places")
             rare, tried = True, None
             continue
-        minor = salted_join(placed, several, ["bucket"], rows_per_salt=20_000).filter("label != major")
-        part = F.pmod(F.xxhash64("node", F.lit(step)), F.lit(min(PIVOT_GROWTH**step, MAX_PIVOTS)))
-        pivots = minor.groupBy("bucket", part.alias("part")).agg(F.min(F.struct("node", "label", "n", "bits")).alias("p"))
-        columns = [F.col(f"p.{c}").alias(x) for c, x in (("node", "pivot"), ("label", "own"), ("n", "pn"), ("bits", "pbits"))]
+        # A bucket that is done stays so, and the next rounds go without it.
+        buckets = work.save(placed.join(several, "bucket"), f"met-{step}")
+        part = F.pmod(F.xxhash64("node", F.lit(step)), F.lit(HUBS if step == 1 else min(PIVOT_GROWTH ** max(step - 1, 0), MAX_PIVOTS)))
+        pivots = (buckets if step == 1 else buckets.filter("label != major")).groupBy("bucket", part.alias("part"))
+        pivots = pivots.agg(F.min(F.struct("odd", "node", "label", "n", "bits", "at")).alias("p"))
+        columns = [F.col(f"p.{c}").alias(x) for c, x in (("node", "pivot"), ("label", "plabel"), ("n", "pn"), ("bits", "pbits"), ("at", "pat"))]
         pivots = work.save(pivots.select("bucket", *columns), f"pivots-{step}")
-        met = salted_join(placed, pivots, ["bucket"], rows_per_salt=20_000).filter(f"label != own AND {_bits_allow()}")
+        met = salted_join(buckets.drop("major"), pivots, ["bucket"], rows_per_salt=20_000).filter(f"label != plabel AND {_bits_allow()}")
+        buckets = buckets.select(*fields)
         pairs = met.select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
         # Sets of unequal sizes cannot be linked, and far signatures hardly ever are.
         near = pairs
@@ -311,8 +363,7 @@ def link_classes(work: Workspace, classes: DataFrame, texts: DataFrame) -> DataF
         links = new if links is None else links.unionByName(new)
         if new.limit(1).count():
             labels = _settled(work, links, f"labels-{step}")
-        now = pivots.select("bucket", "pivot")
-        tried = now if tried is None else tried.unionByName(now)
+        tried = pivots.select("bucket", F.col("pivot").alias("node"))
         step += 1
 
 
