@@ -5,6 +5,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -65,6 +66,23 @@ def test_strings_removed_as_by_brute_force(docs, monkeypatch, group):
     assert sum(r["n_removed"] for r in rows) > 4000
 
 
+def test_strings_leave_python_in_parts_of_bounded_size(monkeypatch):
+    text = words(4, 3000)
+    texts = pa.record_batch([pa.array([7, 8, 9]), pa.array([text, None, text])], ["_row", "text"])
+    monkeypatch.setattr(suffix_dedup, "PLACES", 1000)
+    monkeypatch.setattr(suffix_dedup, "FRAMES", 3)
+    many = suffix_dedup.anchors(text.encode())[0].shape[1]
+    found = list(suffix_dedup._places([texts, texts.slice(0, 0)]))
+    assert sum(b.num_rows for b in found) == 2 * many and all(b.num_rows < 1000 + many for b in found)
+    few = pa.table({"text": [text], "places": [[{**p, "n": 1, "large": True} for p in found[0].slice(0, 10).to_pylist()]]})
+    frames = list(suffix_dedup._frames(few.to_batches()))
+    assert [b.num_rows for b in frames] == [3, 3, 3, 1]
+    strings = list(suffix_dedup._each_string(frames))
+    width = suffix_dedup.FRAME - suffix_dedup.LENGTH + 1
+    assert all(b.num_rows <= 1000 + width for b in strings) and sum(b.num_rows for b in strings) > 9 * 100
+    assert {tuple(r.values()) for b in strings for r in b.select(["side", "key"]).to_pylist()} <= {(r["side"], r["key"]) for r in found[0].to_pylist()}
+
+
 def test_near_duplicates_as_by_all_pairs(docs):
     rows = near_dedup.near_duplicates(docs).collect()
     sets = {r["doc_id"]: near_dedup.shingles(r["text"].encode() if r["text"] else None) for r in docs.collect() if r["doc_id"]}
