@@ -83,6 +83,34 @@ def test_strings_leave_python_in_parts_of_bounded_size(monkeypatch):
     assert {tuple(r.values()) for b in strings for r in b.select(["side", "key"]).to_pylist()} <= {(r["side"], r["key"]) for r in found[0].to_pylist()}
 
 
+@pytest.mark.parametrize("scale", [0.3, 300.0])
+def test_network_steps_as_by_the_plain_formula(scale):
+    rng, n = np.random.default_rng(2), 2 * lm_score.PART + 50
+    shapes = ((len(lm_score.OFFSETS), lm_score.CLASSES, lm_score.WIDTH), (lm_score.CLASSES, lm_score.WIDTH), (lm_score.CLASSES,))
+    inputs, outputs, bias = (rng.normal(0, scale**0.5, shape).astype(np.float32) for shape in shapes)
+    ids = rng.integers(1, lm_score.CLASSES, n).astype(np.int32)
+    near = lm_score._neighbours(ids)
+    hidden = sum(inputs[d][near[d]].astype(float) for d in range(len(lm_score.OFFSETS)))
+    logits = hidden @ outputs.T.astype(float) + bias
+    logits -= logits.max(axis=1, keepdims=True)
+    logs = logits - np.log(np.exp(logits).sum(axis=1, keepdims=True))
+    probabilities = np.exp(logs)
+    net = lm_score.Network({}, inputs.copy(), outputs.copy(), bias.copy())
+    assert np.allclose(lm_score.log_likelihoods(net, ids, near), logs[np.arange(n), ids], rtol=1e-3, atol=1e-3)
+    assert abs(lm_score.pseudo_likelihood(net, ids) - lm_score.log_likelihoods(net, ids, near).sum()) < 1e-6
+    error = probabilities.copy()
+    error[np.arange(n), ids] -= 1
+    error /= n
+    back = error @ outputs.astype(float)
+    lm_score.gradient_step(net, ids, near, 0.5)
+    assert np.allclose(net.outputs, outputs - 0.5 * error.T @ hidden, rtol=1e-3, atol=1e-3 * scale)
+    assert np.allclose(net.bias, bias - 0.5 * error.sum(axis=0), rtol=1e-3, atol=1e-3)
+    for d in range(len(lm_score.OFFSETS)):
+        grown = np.zeros(shapes[0][1:])
+        np.add.at(grown, near[d], back)
+        assert np.allclose(net.inputs[d], inputs[d] - 0.5 * grown, rtol=1e-3, atol=1e-3 * scale)
+
+
 def test_near_duplicates_as_by_all_pairs(docs):
     rows = near_dedup.near_duplicates(docs).collect()
     sets = {r["doc_id"]: near_dedup.shingles(r["text"].encode() if r["text"] else None) for r in docs.collect() if r["doc_id"]}

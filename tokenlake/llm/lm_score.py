@@ -37,8 +37,11 @@ WIDTH = 16
 REACH = 2
 ROUNDS = 2
 RATE = 0.5
-# Positions per gradient step.
+# Positions per gradient step, and those whose probabilities are held at a time, so that they stay in the processor's cache.
 STEP = 4096
+PART = 512
+# Logits up to this need no shift before single floats hold their exponentials.
+SAFE = 60.0
 HELD = 300_000
 # Counts of words with at least this share of all occurrences travel with the tasks; so many words can have it at most.
 SHARES = 50_000
@@ -94,37 +97,72 @@ def _neighbours(ids: np.ndarray) -> np.ndarray:
     return np.stack([padded[REACH + d : REACH + d + len(ids)] for d in OFFSETS])
 
 
-def _log_probabilities(net: Network, near: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hidden vectors, and the log-probability of each class at each position."""
-    hidden = sum(net.inputs[d][near[d]] for d in range(len(OFFSETS)))
-    logits = hidden @ net.outputs.T + net.bias
-    logits -= logits.max(axis=1, keepdims=True)
-    return hidden, logits - np.log(np.exp(logits).sum(axis=1, keepdims=True))
+def _widened(net: Network) -> np.ndarray:
+    """Output vectors with their biases as one more column."""
+    return np.concatenate([net.outputs, net.bias[:, None]], axis=1)
+
+
+def _hidden(net: Network, near: np.ndarray) -> np.ndarray:
+    """Sums of the vectors of the neighbours, and a 1 that meets the bias."""
+    hidden = np.ones((near.shape[1], WIDTH + 1), net.inputs.dtype)
+    sums = net.inputs[0][near[0]]
+    for d in range(1, len(OFFSETS)):
+        sums += net.inputs[d][near[d]]
+    hidden[:, :WIDTH] = sums
+    return hidden
+
+
+def _logits(hidden: np.ndarray, outputs: np.ndarray) -> np.ndarray:
+    """Logits of each class at each position, shifted where single floats could not hold their exponentials."""
+    logits = hidden @ outputs.T
+    # By Cauchy and Schwarz; beyond, the highest of each position becomes 0.
+    if float((hidden**2).sum(axis=1).max()) * float((outputs**2).sum(axis=1).max()) > SAFE**2:
+        logits -= logits.max(axis=1, keepdims=True)
+    return logits
+
+
+def log_likelihoods(net: Network, ids: np.ndarray, near: np.ndarray) -> np.ndarray:
+    """Log-probability of each class given both sides."""
+    out, outputs = np.empty(len(ids)), _widened(net)
+    for at in range(0, len(ids), PART):
+        part = ids[at : at + PART]
+        logits = _logits(_hidden(net, near[:, at : at + PART]), outputs)
+        own = logits[np.arange(len(part)), part]
+        out[at : at + PART] = own - np.log(np.exp(logits, out=logits).sum(axis=1))
+    return out
 
 
 def pseudo_likelihood(net: Network, ids: np.ndarray) -> float:
     """Sum over all words of the log-probability given both sides."""
-    total, near = 0.0, _neighbours(ids)
-    for at in range(0, len(ids), STEP):
-        part = ids[at : at + STEP]
-        _, logs = _log_probabilities(net, near[:, at : at + STEP])
-        total += float(logs[np.arange(len(part)), part].sum(dtype=np.float64))
-    return total
+    return float(log_likelihoods(net, ids, _neighbours(ids)).sum())
+
+
+def _sums_by_class(ids: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    width = rows.shape[1]
+    return np.bincount((ids[:, None] * width + np.arange(width)).ravel(), rows.ravel(), CLASSES * width).reshape(CLASSES, width)
 
 
 def gradient_step(net: Network, ids: np.ndarray, near: np.ndarray, rate: float) -> None:
     """One step of descent on the mean negative log-probability, in place."""
-    hidden, logs = _log_probabilities(net, near)
-    error = np.exp(logs)
-    error[np.arange(len(ids)), ids] -= 1
-    error /= len(ids)
-    back = error @ net.outputs
-    net.outputs[:] -= rate * (error.T @ hidden)
-    net.bias[:] -= rate * error.sum(axis=0)
+    # The probabilities stay undivided: a column of ones sums them on the way, and the words themselves are taken off at the end.
+    outputs = _widened(net)
+    summing = np.concatenate([net.outputs, np.ones((CLASSES, 1), net.outputs.dtype)], axis=1)
+    grown = np.zeros_like(outputs)
+    hidden, back = _hidden(net, near), np.empty((len(ids), WIDTH), net.outputs.dtype)
+    for at in range(0, len(ids), PART):
+        part = hidden[at : at + PART]
+        found = _logits(part, outputs)
+        np.exp(found, out=found)
+        sums = found @ summing
+        back[at : at + PART] = sums[:, :WIDTH] / sums[:, WIDTH:]
+        grown += found.T @ (part / sums[:, WIDTH:])
+    back -= net.outputs[ids]
+    step = rate / len(ids)
+    grown = step * (grown - _sums_by_class(ids, hidden))
+    net.outputs[:] -= grown[:, :WIDTH]
+    net.bias[:] -= grown[:, WIDTH]
     for d in range(len(OFFSETS)):
-        grown = np.zeros_like(net.inputs[d])
-        np.add.at(grown, near[d], back)
-        net.inputs[d] -= rate * grown
+        net.inputs[d] -= (step * _sums_by_class(near[d], back)).astype(net.inputs.dtype)
 
 
 def _word_counts(docs: DataFrame, text_col: str) -> DataFrame:
