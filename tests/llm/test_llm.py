@@ -77,9 +77,14 @@ def test_strings_leave_python_in_parts_of_bounded_size(monkeypatch):
     few = pa.table({"text": [text], "places": [[{**p, "n": 1, "large": True} for p in found[0].slice(0, 10).to_pylist()]]})
     frames = list(suffix_dedup._frames(few.to_batches()))
     assert [b.num_rows for b in frames] == [3, 3, 3, 1]
-    strings = list(suffix_dedup._each_string(frames))
+    cores = pa.Table.from_batches(suffix_dedup._cores(frames))
     width = suffix_dedup.FRAME - suffix_dedup.LENGTH + 1
+    assert len(frames) and cores.num_rows <= 10 * (width // suffix_dedup.NEIGHBOURS + 1)
+    wanted = [b.append_column("parts", pa.array([list(range(11))] * b.num_rows)) for b in frames]
+    strings = list(suffix_dedup._each_string(wanted))
     assert all(b.num_rows <= 1000 + width for b in strings) and sum(b.num_rows for b in strings) > 9 * 100
+    none = [b.append_column("parts", pa.array([[]] * b.num_rows, pa.list_(pa.int32()))) for b in frames]
+    assert sum(b.num_rows for b in suffix_dedup._each_string(none)) == 0
     assert {tuple(r.values()) for b in strings for r in b.select(["side", "key"]).to_pylist()} <= {(r["side"], r["key"]) for r in found[0].to_pylist()}
 
 
