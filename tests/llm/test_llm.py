@@ -1,6 +1,7 @@
 """The text operators against brute force on small tables with NULLs, empty texts, ties and repeated rows."""
 
 import math
+import time
 import zlib
 from collections import Counter
 
@@ -14,6 +15,7 @@ from tokenlake.llm import decontaminate, lm_score, near_dedup, suffix_dedup, tox
 from tokenlake.llm.line_dedup import dedup_units
 from tokenlake.llm.quality_rules import apply_rules
 from tokenlake.llm.secret_scan import redact
+from tokenlake.workspace import Workspace
 
 SCHEMA = "doc_id long, text string, kept string, label string"
 
@@ -88,6 +90,45 @@ def test_strings_leave_python_in_parts_of_bounded_size(monkeypatch):
     assert {tuple(r.values()) for b in strings for r in b.select(["side", "key"]).to_pylist()} <= {(r["side"], r["key"]) for r in found[0].to_pylist()}
 
 
+def test_texts_and_groups_hashed_together_as_one_by_one():
+    shared = words(5, 200)
+    texts = [t.encode() for t in (words(1, 300) + shared, shared + words(2, 90), words(3, 60)[:400], "aé" * 900, shared)]
+    found, digests = suffix_dedup.anchors_of_all(texts)
+    alone = [suffix_dedup.anchors(t) for t in texts]
+    want = Counter((i, *row, cids[16 * k : 16 * k + 16]) for i, (rows, cids) in enumerate(alone) for k, row in enumerate(rows.T.tolist()))
+    assert Counter((*row, digests[16 * k : 16 * k + 16]) for k, row in enumerate(found.T.tolist())) == want and len(want) > 20
+    rng = np.random.default_rng(1)
+    data = [bytes(rng.integers(0, 256, 568, dtype=np.uint8)) for _ in range(3)]
+    pairs = [(data[0], data[0][:500] + data[1][500:]), (data[1], data[2]), (data[0], data[0][9:])]
+    member = pa.struct({"cid": pa.binary(), "off": pa.int32(), "bytes": pa.binary(), "n": pa.int64()})
+    groups = [[{"cid": b"%d%d" % (i, j), "off": 568 - len(m), "bytes": m, "n": 1 + (i == 1 and j)} for j, m in enumerate(p)] for i, p in enumerate(pairs)]
+    batch = pa.record_batch([pa.array([0, 1, 0], pa.int32()), pa.array([4, 5, 6]), pa.array(groups, pa.list_(member))], ["side", "key", "g"])
+    got = [tuple(r.values()) for b in suffix_dedup._compared([batch]) for r in b.to_pylist()]
+    assert got == [(0, 4, b"00", 0, 500), (0, 4, b"01", 0, 500), (1, 5, b"11", 0, 568), (0, 6, b"20", 9, 568), (0, 6, b"21", 9, 568)]
+    assert got == [tuple(r.values()) for i in range(3) for b in suffix_dedup._compared([batch.slice(i, 1)]) for r in b.to_pylist()]
+
+
+def test_tidy_workspace_leaves_no_shuffle_files(spark):
+    def files():
+        found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("\n")
+        return {f for f in found.split("\n") if "shuffle_" in f}
+
+    before, counts = files(), spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count()
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    setting = spark.conf.get(name)
+    assert Workspace(spark, "test", tidy=True).save(counts, "counts").count() == 7 and spark.conf.get(name) == setting
+    spark.range(5).repartition(3).collect()
+    plain = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count()
+    deadline = time.time() + 20
+    Workspace(spark, "test").save(plain, "counts")
+    assert files() - before, "without it they stay"
+    before = files()
+    Workspace(spark, "test", tidy=True).save(counts, "counts")
+    while files() - before and time.time() < deadline:
+        time.sleep(0.2)
+    assert not files() - before
+
+
 @pytest.mark.parametrize("scale", [0.3, 300.0])
 def test_network_steps_as_by_the_plain_formula(scale):
     rng, n = np.random.default_rng(2), 2 * lm_score.PART + 50
