@@ -129,6 +129,28 @@ def test_tidy_workspace_leaves_no_shuffle_files(spark):
     assert not files() - before
 
 
+def test_scores_of_texts_that_share_steps_and_tables():
+    rng = np.random.default_rng(4)
+    shapes = ((len(lm_score.OFFSETS), lm_score.CLASSES, lm_score.WIDTH), (lm_score.CLASSES, lm_score.WIDTH), (lm_score.CLASSES,))
+    inputs, outputs, bias = (rng.normal(0, 0.5, shape).astype(np.float32) for shape in shapes)
+    net = lm_score.Network({f"w{i}": i for i in range(1, 100)}, inputs, outputs, bias)
+    frequent = {"w5": 900, "some": 40, "more": 7}
+    totals = rng.random(lm_score.CLASSES)
+    texts = [" ".join(rng.choice(["w5", "w70", "some", "more", "rare", "Rarer"], n)) for n in (3000, 1, 2, 3000, 50)]
+    texts[2:2] = [None, "", " "]
+    scorer = lm_score._Scorer(net, frequent, totals)
+    got = scorer.scores(texts)
+    assert [g["n"] for g in got] == [3000, 1, 0, 0, 0, 2, 3000, 50] and got == lm_score._Scorer(net, frequent, totals).scores(texts)
+    for text, row in zip(texts, got):
+        words = lm_score.words_of(text)
+        ids = lm_score.classes_of(words, net.own)
+        within = sum(math.log(frequent[w] + lm_score.PLUS) for w in words if w in frequent and w not in net.own) - totals[ids].sum()
+        assert row["sum"] == pytest.approx(lm_score.pseudo_likelihood(net, ids) + within, rel=1e-5, abs=1e-5)
+        assert row["others"] == [w for w in words if w.startswith("rare")]
+    wide = lm_score.Network(net.own, inputs * 100, outputs, bias)
+    assert lm_score._Scorer(wide, frequent, totals).scratch is None
+
+
 @pytest.mark.parametrize("scale", [0.3, 300.0])
 def test_network_steps_as_by_the_plain_formula(scale):
     rng, n = np.random.default_rng(2), 2 * lm_score.PART + 50

@@ -25,8 +25,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
-from tokenlake.llm.common import per_text, table, without
+from tokenlake.llm.common import chunks, table, without
 from tokenlake.shipping import ship_package
 from tokenlake.workspace import Workspace
 
@@ -44,7 +45,7 @@ PART = 512
 SAFE = 60.0
 HELD = 300_000
 # Counts of words with at least this share of all occurrences travel with the tasks; so many words can have it at most.
-SHARES = 50_000
+SHARES = 400_000
 # Added to each count of a word in its class, and to that of all unseen words together.
 PLUS = 0.5
 OFFSETS = [d for d in range(-REACH, REACH + 1) if d]
@@ -87,9 +88,19 @@ def hashed_class(word: str) -> int:
     return 1 + OWN_CLASSES + zlib.crc32(word.encode("utf-8", "replace")) % (CLASSES - 1 - OWN_CLASSES)
 
 
+class _Codes(dict):
+    """A number for each word: the given one, else less than 0, minus its hashed class."""
+
+    def __missing__(self, word: str) -> int:
+        return -hashed_class(word)
+
+    def of(self, words: list[str]) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, words), np.int32, len(words))
+
+
 def classes_of(words: list[str], own: dict[str, int]) -> np.ndarray:
     """Class ids of words."""
-    return np.fromiter((own.get(w) or hashed_class(w) for w in words), np.int32, len(words))
+    return np.abs(_Codes(own).of(words))
 
 
 def _neighbours(ids: np.ndarray) -> np.ndarray:
@@ -105,25 +116,65 @@ def _widened(net: Network) -> np.ndarray:
 def _hidden(net: Network, near: np.ndarray) -> np.ndarray:
     """Sums of the vectors of the neighbours, and a 1 that meets the bias."""
     hidden = np.ones((near.shape[1], WIDTH + 1), net.inputs.dtype)
-    sums = net.inputs[0][near[0]]
+    sums = net.inputs[0].take(near[0], axis=0)
     for d in range(1, len(OFFSETS)):
-        sums += net.inputs[d][near[d]]
+        sums += net.inputs[d].take(near[d], axis=0)
     hidden[:, :WIDTH] = sums
     return hidden
 
 
-def _logits(hidden: np.ndarray, outputs: np.ndarray) -> np.ndarray:
+def _logits(hidden: np.ndarray, outputs: np.ndarray, out: np.ndarray | None = None) -> np.ndarray:
     """Logits of each class at each position, shifted where single floats could not hold their exponentials."""
-    logits = hidden @ outputs.T
+    logits = np.matmul(hidden, outputs.T, out=out)
     # By Cauchy and Schwarz; beyond, the highest of each position becomes 0.
-    if float((hidden**2).sum(axis=1).max()) * float((outputs**2).sum(axis=1).max()) > SAFE**2:
+    if float(np.einsum("ij,ij->i", hidden, hidden).max()) * float(np.einsum("ij,ij->i", outputs, outputs).max()) > SAFE**2:
         logits -= logits.max(axis=1, keepdims=True)
     return logits
 
 
-def log_likelihoods(net: Network, ids: np.ndarray, near: np.ndarray) -> np.ndarray:
-    """Log-probability of each class given both sides."""
+class _Scratch:
+    """Arrays that each step of the network fills anew."""
+
+    def __init__(self):
+        self.tables = np.empty((len(OFFSETS), CLASSES, CLASSES), np.float32)
+        self.products = np.empty((2, PART, CLASSES), np.float32)
+        self.columns = np.empty((WIDTH + 1, STEP))
+
+
+def _tables(net: Network, out: np.ndarray) -> np.ndarray | None:
+    """Exponentials of what each class at each distance adds to each logit, biases with the first; None where products might leave single floats.
+
+    A logit is a sum over the neighbours, so its exponential is a product of entries: far fewer exponentials than positions times classes.
+    """
+    np.matmul(net.inputs.reshape(-1, WIDTH), net.outputs.T, out=out.reshape(-1, CLASSES))
+    out[0] += net.bias
+    if not sum(max(float(t.max()), -float(t.min())) for t in out) <= SAFE:
+        return None
+    return np.exp(out, out=out)
+
+
+def _products(tables: np.ndarray, near: np.ndarray, held: np.ndarray) -> np.ndarray:
+    """Exponentials of the logits of each class at each position, in the first of two ``held`` blocks."""
+    found, factor = held[:, : near.shape[1]]
+    # Ids are in range; by "clip" no copy is made.
+    np.take(tables[0], near[0], axis=0, out=found, mode="clip")
+    for d in range(1, len(OFFSETS)):
+        np.take(tables[d], near[d], axis=0, out=factor, mode="clip")
+        found *= factor
+    return found
+
+
+def log_likelihoods(net: Network, ids: np.ndarray, near: np.ndarray, scratch: _Scratch | None = None) -> np.ndarray:
+    """Log-probability of each class given both sides; with ``scratch``, by the tables of the network there."""
     out, outputs = np.empty(len(ids)), _widened(net)
+    if scratch is not None:
+        tables = scratch.tables
+        held, ones = scratch.products, np.ones(CLASSES, tables.dtype)
+        for at in range(0, len(ids), PART):
+            part = ids[at : at + PART]
+            found = _products(tables, near[:, at : at + PART], held)
+            out[at : at + PART] = np.log(found[np.arange(len(part)), part].astype(np.float64) / (found @ ones))
+        return out
     for at in range(0, len(ids), PART):
         part = ids[at : at + PART]
         logits = _logits(_hidden(net, near[:, at : at + PART]), outputs)
@@ -137,13 +188,15 @@ def pseudo_likelihood(net: Network, ids: np.ndarray) -> float:
     return float(log_likelihoods(net, ids, _neighbours(ids)).sum())
 
 
-def _sums_by_class(ids: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    width = rows.shape[1]
-    return np.bincount((ids[:, None] * width + np.arange(width)).ravel(), rows.ravel(), CLASSES * width).reshape(CLASSES, width)
+def _sums_by_class(ids: np.ndarray, columns: np.ndarray) -> np.ndarray:
+    """Sums of columns, a row each, over the positions of each class."""
+    ids = ids.astype(np.intp)
+    return np.stack([np.bincount(ids, column, CLASSES) for column in columns], axis=1)
 
 
-def gradient_step(net: Network, ids: np.ndarray, near: np.ndarray, rate: float) -> None:
-    """One step of descent on the mean negative log-probability, in place."""
+def gradient_step(net: Network, ids: np.ndarray, near: np.ndarray, rate: float, scratch: _Scratch | None = None) -> None:
+    """One step of descent on the mean negative log-probability, in place, for up to ``STEP`` positions."""
+    scratch = scratch or _Scratch()
     # The probabilities stay undivided: a column of ones sums them on the way, and the words themselves are taken off at the end.
     outputs = _widened(net)
     summing = np.concatenate([net.outputs, np.ones((CLASSES, 1), net.outputs.dtype)], axis=1)
@@ -151,18 +204,22 @@ def gradient_step(net: Network, ids: np.ndarray, near: np.ndarray, rate: float)
     hidden, back = _hidden(net, near), np.empty((len(ids), WIDTH), net.outputs.dtype)
     for at in range(0, len(ids), PART):
         part = hidden[at : at + PART]
-        found = _logits(part, outputs)
+        found = _logits(part, outputs, scratch.products[0, : len(part)])
         np.exp(found, out=found)
         sums = found @ summing
         back[at : at + PART] = sums[:, :WIDTH] / sums[:, WIDTH:]
         grown += found.T @ (part / sums[:, WIDTH:])
-    back -= net.outputs[ids]
+    back -= net.outputs.take(ids, axis=0)
     step = rate / len(ids)
-    grown = step * (grown - _sums_by_class(ids, hidden))
+    columns = scratch.columns[:, : len(ids)]
+    columns[:] = hidden.T
+    grown = step * (grown - _sums_by_class(ids, columns))
     net.outputs[:] -= grown[:, :WIDTH]
     net.bias[:] -= grown[:, WIDTH]
+    columns = columns[:WIDTH]
+    columns[:] = back.T
     for d in range(len(OFFSETS)):
-        net.inputs[d] -= (step * _sums_by_class(near[d], back)).astype(net.inputs.dtype)
+        net.inputs[d] -= (step * _sums_by_class(near[d], columns)).astype(net.inputs.dtype)
 
 
 def _word_counts(docs: DataFrame, text_col: str) -> DataFrame:
@@ -217,6 +274,8 @@ def train_network(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS,
     n_words, totals = _class_totals(words, own)
     occurrences = words.agg(F.sum("n")).first()[0] or 0
     frequent = {r["word"]: r["n"] for r in words.filter(F.col("n") * SHARES >= occurrences).collect()}
+    # Classes of frequent words need not be computed place by place.
+    known = docs.sparkSession.sparkContext.broadcast({w: hashed_class(w) for w in frequent} | own)
     rng = np.random.default_rng(seed)
     net = Network(
         own,
@@ -229,16 +288,17 @@ def train_network(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS,
 
         def fit(batches: Iterator[pa.RecordBatch], shared=shared, rate=RATE / (1 + round_number)) -> Iterator[pa.RecordBatch]:
             mine = shared.value.with_flat(shared.value.flat())
+            codes, scratch = _Codes(known.value), _Scratch()
             held, positions, seen = [], 0, 0
 
             def learn() -> None:
                 ids, near = np.concatenate(held), np.concatenate([_neighbours(x) for x in held], axis=1)
                 for at in range(0, len(ids), STEP):
-                    gradient_step(mine, ids[at : at + STEP], near[:, at : at + STEP], rate)
+                    gradient_step(mine, ids[at : at + STEP], near[:, at : at + STEP], rate, scratch)
 
             for batch in batches:
                 for text in batch.column(0):
-                    ids = classes_of(words_of(text.as_py()), mine.own)
+                    ids = np.abs(codes.of(words_of(text.as_py())))
                     seen, positions = seen + len(ids), positions + len(ids)
                     held.append(ids)
                     if positions >= STEP:
@@ -264,6 +324,46 @@ def train_network(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS,
     return Model(net, words, n_words, frequent, totals)
 
 
+class _Scorer:
+    """Scores texts by what a model sends along with the tasks; several short texts share the steps of the network."""
+
+    def __init__(self, net: Network, frequent: dict[str, int], totals: np.ndarray):
+        self.net, self.totals, self.scratch = net, totals, _Scratch()
+        # Without tables the probabilities are computed from the logits.
+        if _tables(net, self.scratch.tables) is None:
+            self.scratch = None
+        # Numbers of words: classes for own ones, then all frequent ones.
+        self.codes = _Codes({w: CLASSES + at for at, w in enumerate(frequent)} | net.own)
+        self.classes = np.concatenate([np.arange(CLASSES), np.fromiter(map(hashed_class, frequent), np.int64, len(frequent))])
+        self.logs = np.concatenate([np.zeros(CLASSES), np.log(np.fromiter(frequent.values(), np.float64, len(frequent)) + PLUS)])
+
+    def scores(self, texts: list[str | None]) -> list[dict]:
+        """Number of words, log-probability without that of the others within their classes, and the others, of each text."""
+        out, held, positions = [], [], 0
+        for text in texts:
+            words = words_of(text)
+            codes = self.codes.of(words)
+            out.append({"n": len(words), "sum": 0.0, "others": [words[at] for at in np.flatnonzero(codes < 0).tolist()]})
+            held.append(codes)
+            positions += len(codes)
+            if positions >= STEP:
+                self._add(out[-len(held) :], held)
+                held, positions = [], 0
+        if positions:
+            self._add(out[-len(held) :], held)
+        return out
+
+    def _add(self, rows: list[dict], held: list[np.ndarray]) -> None:
+        codes = np.concatenate(held)
+        known = np.maximum(codes, 0)
+        ids = np.where(codes < 0, -codes, self.classes[known])
+        sizes = [len(x) for x in held]
+        near = np.concatenate([_neighbours(x) for x in np.split(ids, np.cumsum(sizes)[:-1])], axis=1)
+        each = log_likelihoods(self.net, ids, near, self.scratch) + self.logs[known] - self.totals[ids]
+        for row, total in zip(rows, np.bincount(np.repeat(np.arange(len(held)), sizes), each, len(held)).tolist()):
+            row["sum"] = total
+
+
 def score_texts(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """``docs`` with n_words (BIGINT), log_likelihood (the sum) and mean_log_likelihood (per word).
 
@@ -278,21 +378,18 @@ def score_texts(docs: DataFrame, model: Model, text_col: str = "text") -> DataFr
         [T.StructField("n", T.LongType()), T.StructField("sum", T.DoubleType()), T.StructField("others", T.ArrayType(T.StringType()))]
     )
 
-    def make():
-        net, frequent, totals = shared.value
-        logs = {w: float(np.log(n + PLUS)) for w, n in frequent.items() if w not in net.own}
-
-        def score(text: str | None) -> dict:
-            words = words_of(text)
-            ids = classes_of(words, net.own)
-            rest = [w for w in words if w not in net.own]
-            within = sum(logs.get(w, 0.0) for w in rest) - float(totals[ids].sum())
-            return {"n": len(ids), "sum": pseudo_likelihood(net, ids) + within, "others": [w for w in rest if w not in logs]}
+    out_type = to_arrow_type(kind)
+    ship_package(docs.sparkSession)
 
-        return score
+    @F.arrow_udf(kind)
+    def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        scorer = _Scorer(*shared.value)
+        for batch in batches:
+            parts = [pa.array(scorer.scores(part.to_pylist()), out_type) for part in chunks(batch)]
+            yield pa.concat_arrays(parts) if parts else pa.array([], out_type)
 
     # Written first, so that the numbers of rows hold and each text is scored once.
-    scored = clean.withColumn("_row", F.monotonically_increasing_id()).withColumn("_s", per_text(docs.sparkSession, kind, make)(F.col(text_col)))
+    scored = clean.withColumn("_row", F.monotonically_increasing_id()).withColumn("_s", score(F.col(text_col)))
     scored = Workspace(docs.sparkSession, "lm-score").save(scored, "scored")
     # Counts of words that are not frequent are looked up by a join; no such word has many of the rows.
     others = scored.select("_row", F.explode("_s.others").alias("word")).join(model.words, "word", "left")
